@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Regular expressions whose exact form decides the result.
@@ -149,36 +149,38 @@ def nice_ticks(lo: Column, hi: Column, parts: int = 6) -> Column:
     return F.transform(F.sequence(first, last), lambda i: F.round(i * step, 9))
 
 
-def rating_polarity(text: Column) -> Column:
+def with_rating(df: DataFrame, text_col: str, name: str = "polarity") -> DataFrame:
     """Polarity of the first explicit rating: ``8/10``, ``four out of five``,
     ``out of ****: ***`` or ``grade: B+``; null where none is stated or it lies
     between the cut-offs."""
-    words = "|".join(NUMBER_WORDS)
-    number = rf"(?:[0-9]+(?:\.[0-9]+)?|{words})"
-    pattern = rf"({number} ?(?:/|out of) ?{number}|out of \*+: ?\*+|grade: ?[A-F][+-]?)"
-    found = F.nullif(F.regexp_extract(text, f"(?i){pattern}", 1), F.lit(""))
+    number = rf"(?:[0-9]+(?:\.[0-9]+)?|{'|'.join(NUMBER_WORDS)})"
+    pattern = rf"({number} ?(?:/|out of) ?{number}|out of \*+: ?\*+|grade: ?[a-f][+-]?)"
+    words = F.create_map(*[F.lit(x) for w, v in NUMBER_WORDS.items() for x in (w, float(v))])
 
     def value(c: Column) -> Column:
-        out = F.when(c.rlike("^[0-9.]+$"), c.try_cast("double"))
-        for word, v in NUMBER_WORDS.items():
-            out = out.when(F.lower(c) == word, F.lit(float(v)))
-        return out
-
-    left = F.regexp_extract(found, f"(?i)^({number})", 1)
-    right = F.regexp_extract(found, f"(?i)({number})$", 1)
-    stars = F.length(F.regexp_extract(found, r"(\*+)$", 1)).cast("double")
-    max_stars = F.length(F.regexp_extract(found, r"of (\*+):", 1)).cast("double")
-    grade = F.upper(F.regexp_extract(found, r"(?i)grade: ?([A-F][+-]?)$", 1))
-    is_stars, is_grade = F.contains(found, F.lit("*")), F.lower(found).startswith("grade")
-    got = F.when(is_stars, stars).otherwise(value(left))
-    top = F.when(is_stars, max_stars).otherwise(value(right))
-    share = F.try_divide(got, top)
-    four = top == 4
+        return F.coalesce(c.try_cast("double"), F.try_element_at(words, c))
+
+    found, got, top = F.col("_found"), F.col("_got"), F.col("_top")
+    is_stars = F.contains(found, F.lit("*"))
+    staged = (
+        df.withColumn("_found", F.regexp_extract(F.lower(text_col), pattern, 1))
+        .withColumn("_got", F.regexp_extract(found, rf"^({number})", 1))
+        .withColumn("_top", F.regexp_extract(found, rf"({number})$", 1))
+        .withColumn("_grade", F.upper(F.regexp_extract(found, r"^grade: ?([a-f][+-]?)$", 1)))
+        .withColumn(
+            "_got",
+            F.when(is_stars, F.length(F.regexp_extract(found, r"(\*+)$", 1)).cast("double")).otherwise(value(got)),
+        )
+        .withColumn(
+            "_top",
+            F.when(is_stars, F.length(F.regexp_extract(found, r"of (\*+):", 1)).cast("double")).otherwise(value(top)),
+        )
+    )
+    share, four, grade = F.try_divide(got, top), top == 4, F.col("_grade")
     high = F.when(four, F.lit(FOUR_STAR_CUTS[0])).otherwise(F.lit(FIVE_STAR_CUTS[0]))
     low = F.when(four, F.lit(FOUR_STAR_CUTS[1])).otherwise(F.lit(FIVE_STAR_CUTS[1]))
-    return (
-        F.when(is_grade & grade.isin(POSITIVE_GRADES), F.lit("pos"))
-        .when(is_grade & grade.isin(NEGATIVE_GRADES), F.lit("neg"))
-        .when(~is_grade & (share >= high), F.lit("pos"))
-        .when(~is_grade & (share <= low), F.lit("neg"))
+    polarity = (
+        F.when(grade.isin(POSITIVE_GRADES) | (share >= high), F.lit("pos"))
+        .when(grade.isin(NEGATIVE_GRADES) | (share <= low), F.lit("neg"))
     )
+    return staged.withColumn(name, polarity).drop("_found", "_got", "_top", "_grade")

@@ -1 +1,12 @@
+"""All registered queries.  Importing a module registers its keys."""
 
+from tidewater.plans import (  # noqa: F401
+    aggregates,
+    expressions,
+    inputs,
+    joins,
+    ordering,
+)
+from tidewater.plans.registry import PLANS, TWINS
+
+__all__ = ["PLANS", "TWINS"]

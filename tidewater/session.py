@@ -66,4 +66,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def size_in_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate for a plan; an upper guide for broadcasts."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -6,6 +6,7 @@ from tidewater.plans import (  # noqa: F401
     inputs,
     joins,
     ordering,
+    texts,
 )
 from tidewater.plans.registry import PLANS, TWINS
 

@@ -49,7 +49,7 @@ def with_prior(stats: DataFrame) -> DataFrame:
     """Log share of each class, from the class sizes of feature 0."""
     sizes = stats.filter(F.col("feature") == 0).select("label", F.col("n").alias("_n"))
     total = sizes.agg(F.sum("_n").alias("_all"))
-    prior = sizes.join(F.broadcast(total)).select("label", F.log(F.col("_n") / F.col("_all")).alias("log_prior"))
+    prior = sizes.select("label", F.log(F.col("_n") / total.scalar()).alias("log_prior"))
     return stats.join(small(prior), "label")
 
 

@@ -2,9 +2,13 @@
 
 from tidewater.plans import (  # noqa: F401
     aggregates,
+    bayesian,
+    clustering,
+    evaluation,
     expressions,
     inputs,
     joins,
+    linkage,
     ordering,
     texts,
 )

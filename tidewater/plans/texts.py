@@ -59,7 +59,7 @@ def all_words(spark, d):
 @query("stem_tokens")
 def stem_tokens(spark, d):
     # counted before the stems are looked up: the join sees a row per word
-    counts = all_words(spark, d).filter("lang = 'en'").groupBy("word").agg(F.count("*").alias("n"))
+    counts = all_words(spark, d).groupBy("word").agg(F.count("*").alias("n"))
     stems = counts.withColumn("stem", X.stem(F.col("word")))
     return stems.groupBy("stem").agg(F.sum("n").alias("n"), F.count("*").alias("n_forms"))
 

@@ -81,8 +81,12 @@ class GaussianScorer:
         Logs are added directly, so nothing underflows.  ``skip_zero`` drops the
         features whose density would underflow to zero, as older results did.
         """
-        out = np.empty((len(x), len(self.labels)))
-        for i, (m, v) in enumerate(zip(self.mean, self.var)):
+        return self.density(x, self.mean, self.var, skip_zero)
+
+    @staticmethod
+    def density(x: np.ndarray, mean: np.ndarray, var: np.ndarray, skip_zero: bool = False) -> np.ndarray:
+        out = np.empty((len(x), len(mean)))
+        for i, (m, v) in enumerate(zip(mean, var)):
             with np.errstate(divide="ignore", invalid="ignore"):
                 part = -0.5 * np.log(2 * np.pi * v) - 0.5 * (x - m) ** 2 / v
             part = np.where(v == 0, np.where(x == m, 0.0, -np.inf), part)
@@ -150,6 +154,48 @@ def finish_moments(sums: DataFrame) -> DataFrame:
     return sums.withColumn("mean", mean).withColumn("var_pop", var).drop("sx", "sxx")
 
 
+def round_accuracy(train: DataFrame, held: DataFrame, round_col: str, label: str, features: str) -> DataFrame:
+    """(round, scope, n, accuracy) of the model after each round: on the
+    held-out rows of its own round, and on all held-out rows.
+
+    The rounds' models are shipped together after a size check; each held-out
+    row is read once and scored by all of them in its task.
+    """
+    per = train.select(round_col, label, F.posexplode(F.col(features).cast("array<double>")))
+    sums = (
+        per.groupBy(F.col(round_col).alias("round"), F.col(label).alias("label"), F.col("pos").alias("feature"))
+        .agg(F.count("col").alias("n"), F.sum("col").alias("sx"), F.sum(F.col("col") * F.col("col")).alias("sxx"))
+    )
+    params = finish_moments(cumulate_rounds(sums))
+    if params.count() > MODEL_CELLS:
+        raise ValueError("the rounds' models are too large to ship together; use larger rounds")
+    found = params.toPandas().sort_values(["round", "label", "feature"])
+    models = []
+    for number, part in found.groupby("round"):
+        labels = sorted(part["label"].unique().tolist())
+        size = part.groupby("label")["n"].first().loc[labels].to_numpy()
+        shape = (len(labels), -1)
+        models.append((int(number), np.asarray(labels), np.log(size / size.sum()),
+                       part["mean"].to_numpy().reshape(shape), part["var_pop"].to_numpy().reshape(shape)))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.asarray(pdf["x"].tolist(), dtype=float)
+            for number, labels, prior, mean, var in models:
+                s = GaussianScorer.density(x, mean, var) + prior
+                hit = labels[s.argmax(1)] == pdf["label"].to_numpy()
+                yield pd.DataFrame({"round": number, "own": pdf["rnd"].to_numpy() == number, "hit": hit})
+
+    slim = held.select(F.col(round_col).alias("rnd"), F.col(label).alias("label"), F.col(features).cast("array<double>").alias("x"))
+    hits = slim.mapInPandas(score, "round bigint, own boolean, hit boolean")
+    scopes = F.when(F.col("own"), F.array(F.lit("global"), F.lit("round"))).otherwise(F.array(F.lit("global")))
+    return hits.select("round", "hit", F.explode(scopes).alias("scope")).groupBy("round", "scope").agg(
+        F.count("*").alias("n"), F.avg(F.col("hit").cast("int")).alias("accuracy")
+    )
+
+
 # -------------------------------------------------------------- categorical
 
 

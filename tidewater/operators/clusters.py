@@ -85,7 +85,9 @@ def elbow(df: DataFrame, ks: Sequence[int], starts: int = 1, seed: int = 1) -> D
     return df.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
-def gap_statistic(df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, starts: int = 1, seed: int = 1) -> DataFrame:
+def gap_statistic(
+    df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, starts: int = 1, iterations: int = 100, seed: int = 1
+) -> DataFrame:
     """Gap of log within-cluster cost to uniform rows in the bounding box
     (Tibshirani et al. 2001).  Reference rows are made by seeded ``rand`` in the
     tasks, as many as there are data rows."""
@@ -96,6 +98,7 @@ def gap_statistic(df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, st
         *[F.max(F.get(vec, F.lit(i))).alias(f"hi{i}") for i in range(dims)],
     ).first()
     n = df.count()
+    slices = max(1, n // 100_000)
 
     def costs(frame: DataFrame) -> list[float]:
         feats = as_features(frame, vec).persist()
@@ -103,7 +106,7 @@ def gap_statistic(df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, st
         for k in ks:
             # one cluster has nothing to fit: its cost is the total sum of squares
             whole = sums_of_squares(feats.withColumn("_one", F.lit(0)), vec, "_one").first()["tss"] if k == 1 else None
-            out.append(math.log(whole if k == 1 else kmeans_best(feats, k, starts, seed=seed).summary.trainingCost))
+            out.append(math.log(whole if k == 1 else kmeans_best(feats, k, starts, iterations, seed).summary.trainingCost))
         feats.unpersist()
         return out
 
@@ -113,7 +116,7 @@ def gap_statistic(df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, st
             F.lit(float(box[f"lo{i}"])) + F.rand(seed * 7919 + b * dims + i) * F.lit(float(box[f"hi{i}"]) - float(box[f"lo{i}"]))
             for i in range(dims)
         ]
-        refs.append(costs(spark.range(n).select(F.array(*cols).alias(vec))))
+        refs.append(costs(spark.range(0, n, 1, slices).select(F.array(*cols).alias(vec))))
     ref = np.asarray(refs)
     spread = ref.std(axis=0) * math.sqrt(1 + 1 / sets)
     rows = [(int(k), float(o), float(m), float(m - o), float(s)) for k, o, m, s in zip(ks, own, ref.mean(axis=0), spread)]

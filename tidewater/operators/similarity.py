@@ -211,7 +211,7 @@ def _letter_pairs(strings: DataFrame, above: float) -> DataFrame:
     of two strings that remain when that many (less one) of the commonest
     letters are left off must share a letter.  Holds for every t > 0.
     """
-    base = strings.select("s", F.length("s").alias("len"), _numbered_letters(F.col("s")).alias("toks"))
+    base = strings.select("s", F.length("s").alias("len"), "toks")
     each = base.select("s", "len", F.explode("toks").alias("tok"))
     often = each.groupBy("tok").agg(F.count("*").alias("n"))
     ranked = each.join(small(often), "tok").groupBy("s", "len").agg(
@@ -241,7 +241,8 @@ def fuzzy_join_ratio(df: DataFrame, col: str, above: float) -> DataFrame:
     """
     if not 0 < above < 1:
         raise ValueError("the ratio threshold must lie between 0 and 1")
-    strings = settle(distinct_strings(df, col), "strings")
+    strings = distinct_strings(df, col).withColumn("toks", _numbered_letters(F.col("s")))
+    strings = settle(strings, "strings")
     if above >= 0.85:
         # fewer than (1-t)(la+lb) insertions and deletions, so no more edits
         k = f"cast(ceil({1 - above!r} * ({{la}} + {{lb}}) - 1e-9) AS int) - 1"
@@ -249,9 +250,19 @@ def fuzzy_join_ratio(df: DataFrame, col: str, above: float) -> DataFrame:
         pairs = _segment_pairs(strings, longest, k)
     else:
         pairs = _letter_pairs(strings, above)
-    common = F.size(F.array_intersect(_numbered_letters(F.col("s")), _numbered_letters(F.col("t"))))
-    bound = 2 * common / (F.length("s") + F.length("t"))
-    likely = pairs.filter(bound > F.lit(above) - 1e-9)
+    # letters are numbered once per string and joined to the pairs
+    own = strings.select("s", F.col("toks").alias("toks_s"))
+    other = strings.select(F.col("s").alias("t"), F.col("toks").alias("toks_t"))
+    total = F.length("s") + F.length("t")
+    common = F.size(F.array_intersect("toks_s", "toks_t"))
+    apart = F.levenshtein("s", "t")
+    likely = (
+        pairs.join(own, "s")
+        .join(other, "t")
+        .filter(2 * common > F.lit(above) * total - 1e-9)
+        .filter(apart < F.lit(1 - above) * total + 1e-9)
+        .select("s", "t")
+    )
     scored = likely.withColumn("ratio", ratio_column(F.col("s"), F.col("t"))).filter(F.col("ratio") > F.lit(above))
     return _ordered(scored, strings, "ratio")
 

@@ -136,6 +136,13 @@ def gnb_rounds(spark, d):
     )
 
 
+def embeddings_rounds(spark, d, rounds=4):
+    """Embeddings with a round number by position."""
+    placed = with_position(table(spark, d, "embeddings").select("vec_id", "embedding", "label"), ["vec_id"])
+    n = placed.count()
+    return placed.withColumn("rnd", F.floor(F.col("row_idx") * rounds / F.lit(n)))
+
+
 # -------------------------------------------------------------- categorical
 
 CATS_SQL = """c AS (SELECT p_partkey, p_type AS label,

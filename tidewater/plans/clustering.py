@@ -200,7 +200,7 @@ def plane(spark, d):
 
 @query("gap_stat")
 def gap_stat(spark, d):
-    return C.gap_statistic(plane(spark, d), "xy", [1, 2, 3, 4], sets=3)
+    return C.gap_statistic(plane(spark, d), "xy", [1, 2, 3, 4], sets=3, iterations=20)
 
 
 @query("cluster_indices")

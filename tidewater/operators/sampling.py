@@ -27,7 +27,16 @@ def seeded_hash(id_col: Column, seed: int) -> Column:
 
 
 def shuffled(df: DataFrame, id_col: str, seed: int) -> DataFrame:
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col)
+    """Rows in an order that looks random and is the same on every run."""
+    return df.orderBy(seeded_hash(F.col(id_col), seed), id_col)
+
+
+def sampled(df: DataFrame, id_col: str, seed: int, fraction: float) -> DataFrame:
+    """Each row kept on its own with the given chance.
+
+    The draw is a hash of the id, so a re-run task keeps the same rows.
+    """
+    return df.filter(seeded_hash(F.col(id_col), seed) < F.lit(int(fraction * HASH_RANGE)))
 
 
 def fold_of(id_col: Column, seed: int, folds: int) -> Column:

@@ -8,7 +8,7 @@ from tidewater.operators import density as D
 from tidewater.operators import metrics as M
 from tidewater.operators import neighbors as N
 from tidewater.operators.sampling import fold_of
-from tidewater.plans.bayesian import gnb_predictions
+from tidewater.plans.bayesian import GNB_SCORES, gnb_predictions
 from tidewater.plans.evaluation import rounded
 from tidewater.plans.ordering import hash_sql
 from tidewater.plans.registry import query
@@ -246,7 +246,10 @@ def eval_cluster_match(spark, d):
     return rounded(M.cluster_match(rows, "label", "cluster"))
 
 
-@query("classifier_errors")
+@query(
+    "classifier_errors",
+    f"WITH {GNB_SCORES} SELECT label, predicted, count(*) AS n FROM b JOIN embeddings USING (vec_id) WHERE k = 1 GROUP BY 1, 2",
+)
 def classifier_errors(spark, d):
     """Confusion table of the Gaussian model on the embeddings."""
-    return M.confusion(gnb_predictions(spark, d), "label", "predicted")
+    return M.confusion(gnb_predictions(spark, d), "label", "predicted").withColumn("predicted", F.col("predicted").cast("int"))

@@ -46,7 +46,19 @@ def fuzzy_join_distance(spark, d):
     return Y.fuzzy_join_distance(names(spark, d), "name", 3)
 
 
-@query("fuzzy_join_ratio")
+# a row of bits per pair: bit i stays set while letter i of x is not yet matched
+MASKS = """list_transform(string_split(y.s, ''), lambda c:
+    list_sum(list_transform(range(length(x.s)), lambda i: CASE WHEN x.s[i + 1] = c THEN 1::BIGINT << i ELSE 0 END))::BIGINT)"""
+
+
+@query(
+    "fuzzy_join_ratio",
+    f"""WITH {NAME_SQL}, p AS (SELECT x.s AS a, y.s AS b, x.c AS n_a, y.c AS n_b, (1::BIGINT << length(x.s)) - 1 AS f, {MASKS} AS m
+          FROM n x JOIN n y ON x.s < y.s WHERE levenshtein(x.s, y.s) < 0.1 * (length(x.s) + length(y.s)) + 0.000001),
+        r AS (SELECT *, list_reduce(list_prepend(f, m), lambda v, h: ((v + (v & h)) | (v - (v & h))) & ((1::BIGINT << length(a)) - 1)) AS v FROM p),
+        t AS (SELECT *, 2 * (length(a) - bit_count(v)) / (length(a) + length(b)) AS ratio FROM r)
+        SELECT a, b, round(ratio, 6) AS ratio, n_a, n_b FROM t WHERE ratio > 0.9""",
+)
 def fuzzy_join_ratio(spark, d):
     r = Y.fuzzy_join_ratio(names(spark, d), "name", 0.9)
     return r.withColumn("ratio", F.round("ratio", 6))

@@ -99,9 +99,14 @@ def slice_rows(spark, d):
     return head.orderBy(F.desc("ts"), F.desc("event_id")).limit(11).select("event_id", "event_type")
 
 
-@query("shuffle_hash")
+@query(
+    "shuffle_hash",
+    f"""SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY {hash_sql('o_orderkey', 7)}, o_orderkey) - 1 AS place FROM orders""",
+)
 def shuffle_hash(spark, d):
-    return P.shuffled(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 7)
+    mixed = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    mixed = mixed.withColumn("h", P.seeded_hash(F.col("o_orderkey"), 7))
+    return O.with_position(mixed, ["h", "o_orderkey"], "place").drop("h")
 
 
 @query(
@@ -126,9 +131,12 @@ def split_stratified(spark, d):
     return P.split_counted(cust, "c_custkey", 5, 0.8, ["c_mktsegment"])
 
 
-@query("sample_fraction")
+@query(
+    "sample_fraction",
+    f"SELECT o_orderkey FROM orders WHERE {hash_sql('o_orderkey', 42)} < cast(floor(0.1 * 4294967296) AS BIGINT)",
+)
 def sample_fraction(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").sample(False, 0.1, 42)
+    return P.sampled(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 42, 0.1)
 
 
 @query(

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from tidewater.functions import words as X
 from tidewater.operators.ordered import with_position
 from tidewater.operators import bayes as B
+from tidewater.operators.sampling import fold_of
+from tidewater.plans.bayesian import embeddings_rounds
+from tidewater.plans.ordering import hash_sql
 from tidewater.plans.registry import query
 from tidewater.session import scratch_path, table
 from tidewater.streaming import flows
@@ -123,12 +126,28 @@ def stream_gnb_update(spark, d):
     )
 
 
-@query("eval_rounds")
+ROUND_COUNT = 4
+
+
+@query(
+    "eval_rounds",
+    f"""WITH e AS (SELECT *, (row_number() OVER (ORDER BY vec_id) - 1) * {ROUND_COUNT} // (count(*) OVER ()) AS rnd,
+            floor({hash_sql('vec_id', 41)} * 10 / 4294967296.0) >= 8 AS held FROM embeddings),
+        x AS (SELECT vec_id, label, rnd, held, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS f FROM e),
+        r AS (SELECT DISTINCT rnd AS round FROM e WHERE NOT held),
+        p AS (SELECT round, label AS cls, f, avg(v) AS m, var_pop(v) AS w, count(*) AS n FROM x JOIN r ON rnd <= round AND NOT held GROUP BY 1, 2, 3),
+        q AS (SELECT round, cls, ln(any_value(n) / any_value(t)) AS prior FROM p
+              JOIN (SELECT round, sum(n) AS t FROM p WHERE f = 0 GROUP BY 1) USING (round) GROUP BY 1, 2),
+        s AS (SELECT vec_id, label, rnd, round, cls, sum(-0.5 * ln(2 * pi() * w) - 0.5 * (v - m) * (v - m) / w) AS ll
+              FROM x JOIN p USING (f) WHERE held GROUP BY ALL),
+        b AS (SELECT s.*, row_number() OVER (PARTITION BY vec_id, round ORDER BY ll + prior DESC, cls) AS k FROM s JOIN q USING (round, cls)),
+        h AS (SELECT round, rnd, (cls = label)::INTEGER AS hit FROM b WHERE k = 1)
+        SELECT round, 'global' AS scope, count(*) AS n, round(avg(hit), 6) AS accuracy FROM h GROUP BY 1
+        UNION ALL SELECT round, 'round', count(*), round(avg(hit), 6) FROM h WHERE rnd = round GROUP BY 1""",
+)
 def eval_rounds(spark, d):
     """Accuracy of every round's model on the rows held out from all rounds."""
-    from tidewater.operators.sampling import fold_of
-    from tidewater.plans.bayesian import embeddings_rounds
-
-    rows = embeddings_rounds(spark, d)
+    rows = embeddings_rounds(spark, d, ROUND_COUNT)
     held = fold_of(F.col("vec_id"), 41, 10) >= 8
-    return B.round_accuracy(rows.filter(~held), rows.filter(held), "rnd", "label", "embedding")
+    a = B.round_accuracy(rows.filter(~held), rows.filter(held), "rnd", "label", "embedding")
+    return a.withColumn("accuracy", F.round("accuracy", 6))

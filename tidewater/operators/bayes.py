@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.relational import small
+from tidewater.session import settle
 
 MODEL_CELLS = 20_000_000
 
@@ -204,7 +205,8 @@ class CategoricalModel:
 
     def __init__(self, df: DataFrame, label: str, cats: str):
         pairs = df.select(F.col(label).alias("label"), F.explode(cats).alias("value"))
-        self.counts = pairs.groupBy("label", "value").agg(F.count("*").alias("n"))
+        # written once: the planner then knows its true size
+        self.counts = settle(pairs.groupBy("label", "value").agg(F.count("*").alias("n")), "counts")
         sizes = df.groupBy(F.col(label).alias("label")).count().orderBy("label").collect()
         self.labels = [r["label"] for r in sizes]
         self.sizes = [r["count"] for r in sizes]
@@ -265,7 +267,7 @@ class PresenceModel:
         seen = present.groupBy("word").agg(
             *[F.count(F.when(F.col("label") == v, 1)).alias(f"c{i}") for i, v in enumerate(self.labels)]
         )
-        counts = vocabulary.select("word").join(seen, "word", "left").na.fill(0)
+        counts = settle(vocabulary.select("word").join(seen, "word", "left").na.fill(0), "counts")
         cols = [F.col(f"c{i}") for i in range(len(self.labels))]
         df_all = sum(cols[1:], cols[0])
         if kind == "multinomial":

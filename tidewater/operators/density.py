@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.components import components
+from tidewater.operators.relational import small
 from tidewater.session import settle
 
 PART_ROWS = 512
@@ -54,12 +55,12 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
     cell = F.array(*[F.floor(F.col(f"x{i}") / F.lit(side)).cast("bigint") for i in range(dims)])
     pts = pts.withColumn("cell", cell)
     sizes = pts.groupBy("cell").agg(F.count("*").alias("n_cell"))
-    sizes = sizes.withColumn("parts", F.ceil(F.col("n_cell") / F.lit(part_rows)))
+    sizes = settle(sizes.withColumn("parts", F.ceil(F.col("n_cell") / F.lit(part_rows))), "cells")
     pts = settle(
-        pts.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))),
+        pts.join(small(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))),
         "grid",
     )
-    cells = pts.select("cell", "n_cell", "parts").distinct()
+    cells = sizes
     steps = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in o]) for o in _offsets(dims)])
     near = F.transform(steps, lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))
     dense = F.col("n_cell") >= min_pts

@@ -48,14 +48,33 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def sentiment(texts: DataFrame, key: str, model_paths: Sequence[str]) -> DataFrame:
-    """(key, label, confidence) of each text from stored models by vote."""
-    votes = None
-    for path in model_paths:
-        scored = PipelineModel.load(path).transform(texts)
-        part = scored.select(key, F.lit(path).alias("model"), F.col("prediction").cast("int").alias("vote"))
-        votes = part if votes is None else votes.unionByName(part)
-    return vote_ensemble(votes, key, "model", "vote")
+def row_vote(votes: Column) -> Column:
+    """Struct (label, confidence) of the votes in one row's array; a tie goes to
+    the smallest label."""
+    tally = F.transform(
+        F.array_sort(F.array_distinct(votes)),
+        lambda v: F.struct(F.size(F.filter(votes, lambda x: x == v)).alias("n"), v.alias("label")),
+    )
+    most = F.array_max(F.transform(tally, lambda t: t["n"]))
+    best = F.get(F.filter(tally, lambda t: t["n"] == most), F.lit(0))
+    return F.struct(best["label"].alias("label"), (best["n"] / F.size(votes)).alias("confidence"))
+
+
+def sentiment(texts: DataFrame, key: str, feature_path: str, model_paths: Sequence[str]) -> DataFrame:
+    """(key, label, confidence) of each text from stored models by vote.
+
+    Features are made once per text, every model adds its column to the same
+    row, and the vote is taken in the row: no shuffle.
+    """
+    rows = PipelineModel.load(feature_path).transform(texts).select(key, "features")
+    names = []
+    for i, path in enumerate(model_paths):
+        model = PipelineModel.load(path)
+        last = model.stages[-1]
+        last.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}")
+        rows = last.transform(rows).drop(f"_r{i}", f"_q{i}")
+        names.append(F.col(f"_p{i}").cast("int"))
+    return rows.select(key, row_vote(F.array(*names)).alias("_v")).select(key, "_v.*")
 
 
 def with_confidence(scored: DataFrame) -> DataFrame:

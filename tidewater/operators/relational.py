@@ -54,6 +54,27 @@ def yearly_mean(
     )
 
 
+def joined_yearly_mean(
+    facts: DataFrame, fact_key: str, year: Column, value: str, lookup: DataFrame, group: str, lo: int, hi: int
+) -> DataFrame:
+    """Yearly mean by a group that a lookup gives for the fact key.
+
+    Sums and counts are taken per (key, year) before the join, so a key with a
+    large share of the facts enters it as a few rows.
+    """
+    per = (
+        facts.withColumn("year", year.cast("int"))
+        .filter(F.col("year").between(lo, hi))
+        .groupBy(fact_key, "year")
+        .agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    )
+    return (
+        per.join(lookup, fact_key)
+        .groupBy(group, "year")
+        .agg((F.sum("_s") / F.sum("_n")).alias("mean_value"))
+    )
+
+
 def align_years(df: DataFrame, key: str, years: Sequence[int], prefix: str) -> DataFrame:
     """One row per key with a column per year; keys short of a year drop out.
 

@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewater.operators.relational import small
+from tidewater.session import settle
+
 # The multiplicative hash that SQL twins repeat.
 HASH_MULTIPLIER = 2654435761
 HASH_RANGE = 4294967296
@@ -94,11 +97,13 @@ def split_counted(
         .filter(F.col("_r") == F.col("_want"))
         .select(*by, F.col("_h").alias("_cut_h"), F.col("_id").alias("_cut_id"))
     )
+    # a row per stratum; once written, its size is known and no row need move
+    cut = settle(cut, "cuts")
     inside = (F.col("_h") < F.col("_cut_h")) | (
         (F.col("_h") == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id"))
     )
     return (
-        keyed.join(cut, by, "left")
+        keyed.join(small(cut), by, "left")
         .withColumn("is_train", F.coalesce(inside, F.lit(False)))
         .drop("_all", "_h", "_cut_h", "_cut_id")
     )

@@ -5,18 +5,20 @@ from pyspark.sql import functions as F
 from tidewater.functions import scalars as S
 from tidewater.operators import relational as R
 from tidewater.plans.expressions import LOG_LINE, log_lines
-from tidewater.plans.joins import nation_year_mean
+from tidewater.plans.joins import mean4, nation_year_mean
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import spread, table
 
 
 @query(
     "avg_by_key_year",
-    """SELECT c_nationkey, cast(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice), 4) AS mean_value
-       FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2""",
+    """SELECT o_custkey, cast(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice) + 1e-7, 4) AS mean_value
+       FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2""",
 )
 def avg_by_key_year(spark, d):
-    return nation_year_mean(spark, d, 1996, 2000).withColumn("mean_value", F.round("mean_value", 4))
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    m = R.yearly_mean(orders, "o_custkey", F.year("o_orderdate"), "o_totalprice", 1996, 2000)
+    return m.withColumn("mean_value", mean4("mean_value"))
 
 
 @query(
@@ -39,7 +41,8 @@ def count_having(spark, d):
        WHERE w <> '' GROUP BY 1""",
 )
 def word_count(spark, d):
-    words = table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("word"))
+    docs = spread(table(spark, d, "documents").select("text"))
+    words = docs.select(F.explode(F.split("text", " ")).alias("word"))
     return words.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word")
 
 
@@ -224,14 +227,14 @@ def mode_share(spark, d):
 
 @query(
     "union_years",
-    """SELECT c_nationkey, y AS year, round(avg(o_totalprice), 4) AS value FROM (
+    """SELECT c_nationkey, y AS year, round(avg(o_totalprice) + 1e-7, 4) AS value FROM (
        SELECT c_nationkey, year(o_orderdate)::INTEGER AS y, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey)
        WHERE y IN (1996, 1998, 2000) GROUP BY 1, 2""",
 )
 def union_years(spark, d):
     years = [1996, 1998, 2000]
     wide = R.align_years(nation_year_mean(spark, d, 1996, 2000), "c_nationkey", years, "rate")
-    return R.union_years(wide, "c_nationkey", "rate", years).withColumn("value", F.round("value", 4))
+    return R.union_years(wide, "c_nationkey", "rate", years).withColumn("value", mean4("value"))
 
 
 @query(

@@ -9,7 +9,7 @@ from tidewater.operators.sampling import fold_of
 from tidewater.plans.ordering import hash_sql
 from tidewater.plans.registry import query
 from tidewater.plans.texts import WORDS_SQL
-from tidewater.session import scratch_path, settle, table
+from tidewater.session import scratch_path, settle, spread, table
 
 CELLS_SQL = """x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding)))::INTEGER AS feature
   FROM embeddings),
@@ -264,7 +264,7 @@ def presence_sql(p1: str, p0: str, prior: str) -> str:
 
 
 def labelled_docs(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", X.words(F.col("text")).alias("w"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", X.words(F.col("text")).alias("w"))
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
     # 80 % of the hash range trains
     split = docs.join(lab, "doc_id").withColumn("is_train", fold_of(F.col("doc_id"), 23, 10) < 8)

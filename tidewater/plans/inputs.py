@@ -260,12 +260,12 @@ def file_inventory(spark, d):
 
 @query(
     "snk_csv_roundtrip",
-    "SELECT n_name AS nation, count(*) AS n, round(avg(c_acctbal), 4) AS mean FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
+    "SELECT n_name AS nation, count(*) AS n, round(avg(c_acctbal) + 1e-7, 4) AS mean FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
 )
 def snk_csv_roundtrip(spark, d):
     nation = table(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     per = table(spark, d, "customer").groupBy("c_nationkey").agg(
-        F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean")
+        F.count("*").alias("n"), F.round(F.avg("c_acctbal") + F.lit(1e-7), 4).alias("mean")
     )
     out = per.join(nation, "c_nationkey").select(F.col("n_name").alias("nation"), "n", "mean")
     path = scratch_path(spark, "csv")

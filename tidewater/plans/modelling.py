@@ -23,7 +23,7 @@ from tidewater.operators import rules as L
 from tidewater.operators.sampling import fold_of, seeded_hash
 from tidewater.plans.clustering import embeddings, features
 from tidewater.plans.registry import query
-from tidewater.session import scratch_path, settle, table
+from tidewater.session import scratch_path, settle, spread, table
 
 LABEL = dict(labelCol="label_idx", featuresCol="features")
 
@@ -64,7 +64,7 @@ def tree_entropy(spark, d):
 def text_stats(spark, d):
     """Numeric description of every labelled text."""
     words = F.regexp_count("text", F.lit("[A-Za-z]+"))
-    docs = table(spark, d, "documents").select(
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id",
         F.length("text").cast("double").alias("chars"),
         words.cast("double").alias("words"),
@@ -72,7 +72,8 @@ def text_stats(spark, d):
         F.coalesce(F.try_divide(F.length("text"), words), F.lit(0.0)).alias("chars_per_word"),
     )
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"), "toxic")
-    return docs.join(lab, "doc_id")
+    # a few numbers per text; the texts are read once
+    return settle(docs.join(lab, "doc_id"), "stats")
 
 
 STATS = ["chars", "words", "lines", "chars_per_word"]
@@ -198,25 +199,23 @@ def vote_ensemble(spark, d):
     return Q.vote_ensemble(votes, "o_orderkey", "model", "vote", 0.7)
 
 
-def stored_text_models(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+@query("sentiment_score")
+def sentiment_score(spark, d):
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     train = docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    make = Pipeline(stages=Q.text_stages(300)).fit(train)
+    features_path = scratch_path(spark, "text_features")
+    Q.save_model(make, features_path)
+    rows = settle(make.transform(train).select("features", "label"), "features")
     paths = []
     for name, stage in (
         ("multinomial", NaiveBayes(modelType="multinomial")),
         ("bernoulli", NaiveBayes(modelType="bernoulli")),
         ("logistic", LogisticRegression(maxIter=10, regParam=0.1)),
     ):
-        path = scratch_path(spark, name)
-        Q.save_model(Pipeline(stages=[*Q.text_stages(300), stage]).fit(train), path)
-        paths.append(path)
-    return docs, paths
-
-
-@query("sentiment_score")
-def sentiment_score(spark, d):
-    docs, paths = stored_text_models(spark, d)
-    return Q.sentiment(docs, "doc_id", paths)
+        paths.append(scratch_path(spark, name))
+        Q.save_model(Pipeline(stages=[stage]).fit(rows), paths[-1])
+    return Q.sentiment(docs, "doc_id", features_path, paths)
 
 
 @query("model_roundtrip")
@@ -236,8 +235,7 @@ def model_roundtrip(spark, d):
 @query("experiment_summary")
 def experiment_summary(spark, d):
     """Four models over several seeds: mean and deviation of four metrics."""
-    rows = settle(stat_features(spark, d).drop("features"), "stats")
-    rows = C.as_features(rows, "vec").persist()
+    rows = stat_features(spark, d).persist()
     cands = L.numeric_candidates(rows, STATS)
     out = None
     for seed in (1, 2, 3):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import words as X
 from tidewater.plans.registry import query
-from tidewater.session import table
+from tidewater.session import spread, table
 
 # Stop words used by the stop-word queries.
 STOP_WORDS = ["a", "an", "and", "are", "as", "at", "by", "for", "in", "is", "it", "of", "on", "or", "that", "the", "to", "was", "with"]
@@ -19,7 +19,7 @@ WORDS_SQL = "regexp_extract_all(lower(text), '[a-z]+')"
         {TOKEN_SQL}[1] AS first_token FROM documents""",
 )
 def tokenize_words(spark, d):
-    toks = table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("t"))
+    toks = documents(spark, d).select("doc_id", X.tokens(F.col("text")).alias("t"))
     return toks.select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"),
         F.size(F.array_distinct("t")).cast("bigint").alias("n_distinct"), F.get("t", F.lit(0)).alias("first_token"),
@@ -33,7 +33,7 @@ def tokenize_words(spark, d):
         SELECT doc_id, len(s) AS n, s[1] AS first, s[len(s)] AS last FROM s""",
 )
 def tokenize_sentences(spark, d):
-    s = table(spark, d, "documents").select("doc_id", X.sentences(F.col("text")).alias("s"))
+    s = documents(spark, d).select("doc_id", X.sentences(F.col("text")).alias("s"))
     return s.select(
         "doc_id", F.size("s").cast("bigint").alias("n"), F.get("s", F.lit(0)).alias("first"),
         F.try_element_at("s", F.lit(-1)).alias("last"),
@@ -47,13 +47,17 @@ def tokenize_sentences(spark, d):
                len(t) AS n_all FROM t""",
 )
 def stopword_filter(spark, d):
-    toks = table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("t"))
+    toks = documents(spark, d).select("doc_id", X.tokens(F.col("text")).alias("t"))
     kept = X.drop_stop_words(F.col("t"), STOP_WORDS)
     return toks.select("doc_id", F.size(kept).cast("bigint").alias("n_kept"), F.size("t").cast("bigint").alias("n_all"))
 
 
+def documents(spark, d):
+    return spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
+
+
 def all_words(spark, d):
-    return table(spark, d, "documents").select("doc_id", "lang", F.explode(X.words(F.col("text"))).alias("word"))
+    return documents(spark, d).select("doc_id", "lang", F.explode(X.words(F.col("text"))).alias("word"))
 
 
 @query("stem_tokens")
@@ -121,7 +125,7 @@ def tag_chunks(spark, d):
         )
 
     found = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
-    tagged = table(spark, d, "documents").select("doc_id", F.array_join(F.transform(found, tag), "").alias("tags"))
+    tagged = documents(spark, d).select("doc_id", F.array_join(F.transform(found, tag), "").alias("tags"))
     return tagged.select(
         "doc_id",
         F.size(X.tag_chunks(F.col("tags"))).cast("bigint").alias("n_chunks"),
@@ -143,7 +147,7 @@ def corpus_freq(spark, d):
         ORDER BY n DESC, word LIMIT 500""",
 )
 def vocab_top_n(spark, d):
-    docs = table(spark, d, "documents").select(X.words(F.col("text")).alias("w"))
+    docs = documents(spark, d).select(X.words(F.col("text")).alias("w"))
     return X.vocabulary(docs, "w", 500)
 
 
@@ -154,5 +158,5 @@ def vocab_top_n(spark, d):
         SELECT DISTINCT doc_id, w.word FROM w JOIN v ON v.word = w.word""",
 )
 def bow_presence(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", X.words(F.col("text")).alias("w"))
+    docs = documents(spark, d).select("doc_id", X.words(F.col("text")).alias("w"))
     return X.presence(docs, ["doc_id"], "w", X.vocabulary(docs, "w", 500)).select("doc_id", "word")

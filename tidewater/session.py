@@ -67,3 +67,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def size_in_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate for a plan; an upper guide for broadcasts."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+SPREAD_BYTES = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all task slots before heavy per-row work.
+
+    A small file is often one row group and so one task.  An input with enough
+    bytes for every slot is left as the scan splits it: no shuffle at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if size_in_bytes(df) < slots * SPREAD_BYTES else df

@@ -119,7 +119,8 @@ def colour_gradient(x: Column, stops: Sequence[tuple[float, int]], legacy_red: b
             if legacy_red and shift == 16:
                 mixed = F.least(F.lit(255.0), F.lit(float(p)) * (1 - share) + F.lit(float(q)) + share)
             else:
-                mixed = F.lit(float(p)) * (1 - share) + F.lit(float(q)) * share
+                # equal channels stay exactly equal
+                mixed = F.lit(float(p)) + F.lit(float(q - p)) * share
             return F.shiftleft(F.floor(mixed).cast("int"), shift)
 
         packed = blend(24).bitwiseOR(blend(16)).bitwiseOR(blend(8)).bitwiseOR(blend(0))

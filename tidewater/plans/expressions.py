@@ -448,7 +448,7 @@ def scale_zscore(spark, d):
 
 def _channel(shift: int, lo: int, hi: int) -> str:
     p, q = (lo >> shift) & 0xFF, (hi >> shift) & 0xFF
-    return f"cast(floor({p} * (1 - f) + {q} * f) AS BIGINT)"
+    return f"cast(floor({p} + ({q - p}) * f) AS BIGINT)"
 
 
 def gradient_sql(x: str, stops, source: str, keep: str) -> str:

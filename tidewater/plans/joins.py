@@ -24,7 +24,7 @@ def nation_year_mean(spark, d, lo=1995, hi=2001):
     orders = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     cust = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return R.joined_yearly_mean(
-        orders, "o_custkey", F.year("o_orderdate"), "o_totalprice", cust, "c_nationkey", lo, hi
+        orders, "o_custkey", "o_orderdate", "o_totalprice", cust, "c_nationkey", lo, hi
     )
 
 

@@ -26,6 +26,9 @@ def local_session(cores: int | str = 8, partitions: int = 8, name: str = "tidewa
     return spark
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -35,11 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tidewater-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tidewater-")
+    return _OWN_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -262,3 +262,12 @@ def test_library_agrees_with_closed_forms(spark):
         lib = NaiveBayes(modelType=kind, smoothing=1.0).fit(feats).theta.toArray()
         for j, w in enumerate(vocab):
             assert own[w] == pytest.approx([lib[0][j], lib[1][j]])
+
+
+def test_cluster_match_in_rounds(spark):
+    from tidewater.operators import metrics as M
+
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.randrange(8), rng.randrange(8)) for _ in range(400)], "y int, c int")
+    here, rounds = M.cluster_match(df, "y", "c").first(), M.cluster_match(df, "y", "c", cells_here=0).first()
+    assert tuple(here) == tuple(rounds)

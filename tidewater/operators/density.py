@@ -47,6 +47,8 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
     null for noise.  A border point joins the smallest cluster that reaches it,
     so the result does not depend on row order."""
     dims = len(coords)
+    if dims > 4:
+        raise ValueError("the grid serves up to four dimensions; cluster on shared neighbours beyond that")
     side = eps / math.sqrt(dims) * (1 - 1e-12)
     pts = points.select(
         F.col(id_col).alias("id"),
@@ -124,21 +126,32 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
         for i in range(dims)
     )
     limit = F.lit(eps * eps + EPS_SLACK)
+    edges = [f"{o}{e}{i}" for o in ("", "o_") for e in ("lo", "hi") for i in range(dims)]
     maybe = settle(
         both.filter(apart <= limit).withColumn("sure", across <= limit).select(
-            "cell", "name", "parts", "o_cell", "o_name", "o_parts", "sure"
+            "cell", "name", "parts", "o_cell", "o_name", "o_parts", "sure", *edges
         ),
         "cell_pairs",
     )
     sure = maybe.filter("sure").select("name", F.col("o_name").alias("b_name"))
 
+    def facing(point: str, box: str) -> Column:
+        """A point that lies within eps of the other cell's box."""
+        gap = sum(
+            F.pow(F.greatest(F.col(f"{box}lo{i}") - F.col(f"{point}{i}"), F.col(f"{point}{i}") - F.col(f"{box}hi{i}"), F.lit(0.0)), 2)
+            for i in range(dims)
+        )
+        return gap <= limit
+
     def measured(pairs: DataFrame) -> DataFrame:
+        key = ["name", "o_name", "part", "o_part"]
         a = only.select("cell", "part", *[F.col(f"x{i}").alias(f"a{i}") for i in range(dims)])
-        hits = (
-            pairs.join(a, ["cell", "part"])
-            .join(side_b(only).withColumnRenamed("part", "o_part"), ["to", "o_part"])
-            .filter(_within(dims, eps))
+        b = only.select(
+            F.col("cell").alias("to"), F.col("part").alias("o_part"), *[F.col(f"x{i}").alias(f"b{i}") for i in range(dims)]
         )
+        here = pairs.join(a, ["cell", "part"]).filter(facing("a", "o_")).select(*key, *[f"a{i}" for i in range(dims)])
+        there = pairs.join(b, ["to", "o_part"]).filter(facing("b", "")).select(*key, *[f"b{i}" for i in range(dims)])
+        hits = here.join(there, key).filter(_within(dims, eps))
         return hits.select("name", F.col("o_name").alias("b_name")).distinct()
 
     open_pairs = maybe.filter(~F.col("sure")).withColumnRenamed("o_cell", "to")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewater.session import settle
+
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
@@ -86,23 +88,50 @@ def regression(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     )
 
 
-def cluster_match(df: DataFrame, label: str, cluster: str) -> DataFrame:
-    """Raw id agreement, and agreement under a greedy one-to-one matching.
+MATCH_CELLS = 100_000
 
-    The matching takes (label, cluster) cells by falling count; the loop runs
-    over the labels, on a table that has a row per cell.
-    """
-    conf = confusion(df, label, cluster)
-    cells = sorted(((-r["n"], r["label"], r["predicted"]) for r in conf.collect()))
-    total = -sum(c[0] for c in cells)
-    raw = -sum(n for n, a, b in cells if a == b)
+
+def _match_here(cells: list[tuple]) -> int:
+    """Rows in the matched cells, taking cells by falling count."""
     used_a, used_b, matched = set(), set(), 0
-    for n, a, b in cells:
+    for n, a, b in sorted((-n, a, b) for a, b, n in cells):
         if a not in used_a and b not in used_b:
             used_a.add(a)
             used_b.add(b)
             matched -= n
-    row = (total, raw / total if total else None, matched / total if total else None)
+    return matched
+
+
+def _match_spread(conf: DataFrame) -> int:
+    """The same matching by rounds: a cell that leads both its label and its
+    cluster is what the greedy order would take, so all such cells go at once."""
+    left, matched = settle(conf, "cells"), 0
+    while True:
+        rank = F.struct(-F.col("n"), F.col("label"), F.col("predicted"))
+        by_a = left.groupBy("label").agg(F.min(rank).alias("_ra"))
+        by_b = left.groupBy("predicted").agg(F.min(rank).alias("_rb"))
+        lead = left.join(by_a, "label").join(by_b, "predicted").filter((F.col("_ra") == rank) & (F.col("_rb") == rank))
+        lead = settle(lead.select("label", "predicted", "n"), "lead")
+        got = lead.agg(F.sum("n")).first()[0]
+        if got is None:
+            return matched
+        matched += got
+        rest = left.join(lead.select("label"), "label", "left_anti").join(lead.select("predicted"), "predicted", "left_anti")
+        left = settle(rest, "cells")
+
+
+def cluster_match(df: DataFrame, label: str, cluster: str, cells_here: int = MATCH_CELLS) -> DataFrame:
+    """Raw id agreement, and agreement under a greedy one-to-one matching that
+    takes (label, cluster) cells by falling count.
+
+    A table of few cells is matched on the driver, a larger one in rounds.
+    """
+    conf = settle(confusion(df, label, cluster), "confusion")
+    same = F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0))
+    cells, total, raw = conf.agg(F.count("*"), F.sum("n"), same).first()
+    few = cells <= cells_here
+    matched = _match_here([tuple(r) for r in conf.collect()]) if few else _match_spread(conf)
+    row = (total or 0, raw / total if total else None, matched / total if total else None)
     return df.sparkSession.createDataFrame([row], "n bigint, raw_agreement double, matched_agreement double")
 
 

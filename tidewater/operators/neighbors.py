@@ -121,15 +121,15 @@ def _assign(df: DataFrame, pivots: np.ndarray, radii: np.ndarray | None) -> Data
     return df.mapInPandas(near, "id bigint, vec array<double>, cell int, r double, grp int")
 
 
-def _chunked(df: DataFrame, sizes: dict[int, int], chunk_rows: int) -> DataFrame:
-    """One row per chunk: its ids and vectors.  A group of any size is spread
-    over as many chunks as it needs."""
-    spark = df.sparkSession
-    plan = spark.createDataFrame([(g, -(-n // chunk_rows)) for g, n in sizes.items()], "grp int, parts int")
-    placed = df.join(F.broadcast(plan), "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    return placed.groupBy("grp", "part").agg(
-        F.collect_list("id").alias("ids"), F.collect_list("vec").alias("vecs")
-    )
+def _parts(sizes: pd.DataFrame, chunk_rows: int) -> dict[int, int]:
+    return {int(g): int(-(-n // chunk_rows)) for g, n in zip(sizes["grp"], sizes["n"])}
+
+
+def _numbered(df: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """Rows with the chunk of their group; a group of any size is spread over as
+    many chunks as it needs."""
+    plan = df.sparkSession.createDataFrame(list(parts.items()), "grp int, parts int")  # a row per group
+    return df.join(F.broadcast(plan), "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).drop("parts")
 
 
 def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chunk_rows: int) -> DataFrame:
@@ -164,25 +164,32 @@ def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chu
         theta = most[i][order[min(enough, len(order) - 1)]] if counts.sum() >= need else np.inf
         keep += [(int(gq["grp"][i]), int(gb["grp"][j])) for j in np.nonzero(least[i] <= theta * (1 + 1e-9) + 1e-9)[0]]
 
-    pairs = spark.createDataFrame(keep, "q_grp int, b_grp int")
-    q_chunks = _chunked(placed_q, dict(zip(gq["grp"], gq["n"])), chunk_rows).select(
-        F.col("grp").alias("q_grp"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")
+    q_parts, b_parts = _parts(gq, chunk_rows), _parts(gb, chunk_rows)
+    pairs = spark.createDataFrame(
+        [(i, j, q_parts[i], b_parts[j]) for i, j in keep], "q_grp int, b_grp int, q_parts int, b_parts int"
     )
-    b_chunks = _chunked(placed_b, dict(zip(gb["grp"], gb["n"])), chunk_rows).select(
-        F.col("grp").alias("b_grp"), F.col("ids").alias("b_ids"), F.col("vecs").alias("b_vecs")
+    first = F.lit(0)
+    work = pairs.withColumn("q_part", F.explode(F.sequence(first, F.col("q_parts") - 1))).withColumn(
+        "b_part", F.explode(F.sequence(first, F.col("b_parts") - 1))
     )
-    # both joins are on group numbers; one output row is one block of work
-    work = b_chunks.join(pairs, "b_grp").join(q_chunks, "q_grp")
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for q_ids, q, b_ids, b in zip(pdf["q_ids"], pdf["q_vecs"], pdf["b_ids"], pdf["b_vecs"]):
-                got = _block_top_k(
-                    np.asarray(q_ids), np.stack(q).astype(float), np.asarray(b_ids), np.stack(b).astype(float), k, exclude_self
-                )
-                yield pd.DataFrame(dict(zip(("q_id", "b_id", "dist"), got)))
-
-    return work.select("q_ids", "q_vecs", "b_ids", "b_vecs").mapInPandas(nearest, HIT_SCHEMA)
+    work = work.select("q_grp", "q_part", "b_grp", "b_part")
+    task = ["q_grp", "q_part", "b_grp", "b_part"]
+
+    def side(placed: DataFrame, parts: dict[int, int], name: str) -> DataFrame:
+        rows = _numbered(placed, parts).select(
+            F.col("grp").alias(f"{name}_grp"), F.col("part").cast("int").alias(f"{name}_part"), "id", "vec"
+        )
+        return rows.join(work, [f"{name}_grp", f"{name}_part"]).select(*task, "id", "vec")
+
+    def nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0 or len(b) == 0:
+            return pd.DataFrame({"q_id": [], "b_id": [], "dist": []})
+        got = _block_top_k(q["id"].to_numpy(), _matrix(q["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, exclude_self)
+        return pd.DataFrame(dict(zip(("q_id", "b_id", "dist"), got)))
+
+    # one chunk against one chunk per group: bounded rows on both sides
+    left, right = side(placed_q, q_parts, "q"), side(placed_b, b_parts, "b")
+    return left.groupBy(*task).cogroup(right.groupBy(*task)).applyInPandas(nearest, HIT_SCHEMA)
 
 
 def vote(hits: DataFrame, labels: DataFrame, id_col: str, label_col: str, k: int | None = None) -> DataFrame:

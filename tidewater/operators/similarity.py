@@ -47,16 +47,18 @@ def _grams(text: Column, n: int) -> Column:
 def _candidates(hay: DataFrame, needles: DataFrame, hay_keys: Column, needle_keys: Column) -> DataFrame:
     """(hid, nid) pairs that share the needle's rarest key."""
     keys = needles.select("nid", F.explode(needle_keys).alias("key"))
-    present = hay.select("hid", F.explode(hay_keys).alias("key")).join(
-        small(keys.select("key").distinct()), "key", "left_semi"
+    found = hay.select("hid", F.explode(hay_keys).alias("key"))
+    # texts are cut up twice: once to count, which shuffles a row per key, and
+    # once for the chosen keys; keeping every shared key would outgrow the texts
+    often = (
+        found.join(small(keys.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
     )
-    present = settle(present, "keys")
-    often = present.groupBy("key").agg(F.count("*").alias("n"))
+    often = settle(often, "often")
     # a key that no text has rules its needle out
     counted = keys.join(small(often), "key", "left").na.fill(0, ["n"])
     rarest = counted.groupBy("nid").agg(F.min(F.struct("n", "key")).alias("k"))
-    probe = rarest.filter(F.col("k.n") > 0).select("nid", F.col("k.key").alias("key"))
-    return present.join(small(probe), "key").select("hid", "nid")
+    probe = settle(rarest.filter(F.col("k.n") > 0).select("nid", F.col("k.key").alias("key")), "probe")
+    return found.join(small(probe), "key").select("hid", "nid")
 
 
 def join_contains(
@@ -141,8 +143,7 @@ def _segment_pairs(strings: DataFrame, max_len: str, k: str) -> DataFrame:
             f"greatest(1, st - (k - {delta}) div 2) AS p0", f"least(lb - n + 1, st + (k + {delta}) div 2) AS p1",
         )
         .filter("p0 <= p1")
-        .selectExpr("t", "lb", "la", "k", "i", "explode(transform(sequence(p0, p1), p -> substring(t, cast(p AS int), cast(n AS int)))) AS piece")
-        .distinct()
+        .selectExpr("t", "lb", "la", "k", "i", "explode(array_distinct(transform(sequence(p0, p1), p -> substring(t, cast(p AS int), cast(n AS int))))) AS piece")
     )
     return (
         index.join(probe, ["la", "k", "i", "piece"])

@@ -6,7 +6,7 @@ from tidewater.operators import metrics as M
 from tidewater.operators import similarity as Y
 from tidewater.plans.evaluation import rounded
 from tidewater.plans.registry import query
-from tidewater.session import settle, table
+from tidewater.session import spread, table
 
 
 @query(
@@ -16,7 +16,7 @@ from tidewater.session import settle, table
 )
 def join_contains(spark, d):
     passages = table(spark, d, "benchmark").withColumn("head", F.substring_index("text", ". ", 1))
-    return Y.join_contains(table(spark, d, "documents"), "doc_id", "text", passages, "item_id", ["text", "head"])
+    return Y.join_contains(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", passages, "item_id", ["text", "head"])
 
 
 @query(

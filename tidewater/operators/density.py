@@ -42,6 +42,20 @@ def _within(dims: int, eps: float) -> Column:
     return sq <= F.lit(eps * eps + EPS_SLACK)
 
 
+def _with_cell(pts: DataFrame, dims: int, side: float) -> tuple[DataFrame, list[int]]:
+    """Number the grid cells, so that a neighbour is a fixed step away and cells
+    are joined on one number.  The grid is padded: a step never wraps around."""
+    reach = math.ceil(math.sqrt(dims))
+    at = [F.floor(F.col(f"x{i}") / F.lit(side)) for i in range(dims)]
+    row = pts.agg(*[F.min(c) for c in at], *[F.max(c) for c in at]).first()
+    lows = [int(v or 0) - reach for v in row[:dims]]
+    spans = [int(v or 0) + reach - lo + 1 for lo, v in zip(lows, row[dims:])]
+    strides = [math.prod(spans[i + 1 :]) for i in range(dims)]
+    kind = "bigint" if math.prod(spans) < 1 << 62 else "decimal(38,0)"
+    steps = [(c - F.lit(lo)).cast(kind) * F.lit(stride).cast(kind) for c, lo, stride in zip(at, lows, strides)]
+    return pts.withColumn("cell", sum(steps[1:], steps[0]).cast(kind)), strides
+
+
 def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, min_pts: int, part_rows: int = PART_ROWS) -> DataFrame:
     """(id, is_core, cluster): cluster is the least core id of the component,
     null for noise.  A border point joins the smallest cluster that reaches it,
@@ -54,8 +68,7 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
         F.col(id_col).alias("id"),
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(coords)],
     )
-    cell = F.array(*[F.floor(F.col(f"x{i}") / F.lit(side)).cast("bigint") for i in range(dims)])
-    pts = pts.withColumn("cell", cell)
+    pts, strides = _with_cell(pts, dims, side)
     sizes = pts.groupBy("cell").agg(F.count("*").alias("n_cell"))
     sizes = settle(sizes.withColumn("parts", F.ceil(F.col("n_cell") / F.lit(part_rows))), "cells")
     pts = settle(
@@ -63,8 +76,10 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
         "grid",
     )
     cells = sizes
-    steps = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in o]) for o in _offsets(dims)])
-    near = F.transform(steps, lambda o: F.zip_with(F.col("cell"), o, lambda a, b: a + b))
+    kind = pts.schema["cell"].dataType
+    moves = [sum(x * stride for x, stride in zip(o, strides)) for o in _offsets(dims)]
+    steps = F.array(*[F.lit(m).cast(kind) for m in moves])
+    near = F.transform(steps, lambda o: (F.col("cell") + o).cast(kind))
     dense = F.col("n_cell") >= min_pts
 
     def side_a(df: DataFrame) -> DataFrame:
@@ -80,10 +95,12 @@ def dbscan(points: DataFrame, id_col: str, coords: Sequence[str], eps: float, mi
     routes = (
         cells.filter(~dense)
         .select("cell", F.explode(near).alias("to"))
-        .join(cells.select(F.col("cell").alias("to"), F.col("parts").alias("to_parts")), "to")
+        .join(small(cells.select(F.col("cell").alias("to"), F.col("parts").alias("to_parts"))), "to")
         .select("cell", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("to_parts") - 1)).alias("part"))
     )
 
+    routes = settle(routes, "routes")  # cells that exist only; read by three joins
+
     # 1. degree of the points of sparse cells; their own cell counts in full
     sparse = pts.filter(~dense)
     met = side_a(sparse).join(routes, "cell").join(side_b(pts), ["to", "part"]).filter(_within(dims, eps))

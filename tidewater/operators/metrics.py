@@ -57,6 +57,25 @@ def macro_prf(df: DataFrame, label: str, predicted: str, classes: Sequence | Non
     return c.agg(*[F.avg(m).alias(f"macro_{m}") for m in ("precision", "recall", "f1")])
 
 
+def scores_by(df: DataFrame, by: Sequence[str], label: str, predicted: str) -> DataFrame:
+    """Accuracy and macro scores of many experiments at once, one confusion
+    count per group."""
+    by = list(by)
+    conf = df.groupBy(*by, F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
+    hit = F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)
+    roles = F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), hit.alias("tp"), F.lit(0).cast("bigint").alias("chosen")),
+        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("support"), F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("chosen")),
+    )
+    per = conf.select(*by, F.inline(roles)).groupBy(*by, "cls").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "chosen")])
+    return per.groupBy(*by).agg(
+        (F.sum("tp") / F.sum("support")).alias("accuracy"),
+        F.avg(F.try_divide("tp", "chosen")).alias("macro_precision"),
+        F.avg(F.try_divide("tp", "support")).alias("macro_recall"),
+        F.avg(F.try_divide(2 * F.col("tp"), F.col("chosen") + F.col("support"))).alias("macro_f1"),
+    )
+
+
 def kappa(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Cohen's kappa: agreement beyond what the margins give by chance."""
     c = per_class(confusion(df, label, predicted))

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 QUERY_BYTES = 64 << 20
 CHUNK_ROWS = 4096
-PIVOTS = 48
+PIVOTS = 128
 RINGS = 6
+SLICE = 1024
 
 HIT_SCHEMA = "q_id bigint, b_id bigint, dist double"
 
@@ -33,9 +34,16 @@ def _matrix(col: pd.Series) -> np.ndarray:
 
 
 def _block_top_k(q_ids, q, b_ids, b, k, exclude_self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """k nearest base rows per query of one block, by (distance, id).
+    """k nearest base rows per query of one block, by (distance, id), a slice of
+    queries at a time so that the distance table stays small."""
+    parts = [
+        _slice_top_k(q_ids[i : i + SLICE], q[i : i + SLICE], b_ids, b, k, exclude_self) for i in range(0, len(q), SLICE)
+    ]
+    return tuple(np.concatenate(col) for col in zip(*parts))
 
-    Products find who can be among the nearest; the kept pairs are then
+
+def _slice_top_k(q_ids, q, b_ids, b, k, exclude_self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Products find who can be among the nearest; the kept pairs are then
     measured directly, so equal rows get equal distances.
     """
     rough = (q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (q @ b.T)
@@ -134,7 +142,9 @@ def _numbered(df: DataFrame, parts: dict[int, int]) -> DataFrame:
 
 def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chunk_rows: int) -> DataFrame:
     spark = base.sparkSession
-    picked = base.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).toPandas()
+    # groups of about half a chunk: smaller ones would cost more tasks than work
+    wanted = min(PIVOTS, max(1, 2 * base.count() // (chunk_rows * RINGS)))
+    picked = base.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
     pivots = _matrix(picked["vec"])
     both = base.select("id", "vec").unionByName(queries.select("id", "vec"))
     reach = _assign(both, pivots, None).groupBy("cell").agg(F.max("r")).collect()

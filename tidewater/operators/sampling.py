@@ -19,14 +19,16 @@ from tidewater.session import settle
 
 # The multiplicative hash that SQL twins repeat.
 HASH_MULTIPLIER = 2654435761
+SEED_MULTIPLIER = 2246822519
 HASH_RANGE = 4294967296
 ID_RANGE = 2147483648
 BUCKET = 65536
 
 
 def seeded_hash(id_col: Column, seed: int) -> Column:
-    """Whole number in [0, 2^32), a permutation of ids below 2^31."""
-    return F.pmod(F.pmod(id_col, F.lit(ID_RANGE)) * F.lit(HASH_MULTIPLIER) + F.lit(seed), F.lit(HASH_RANGE))
+    """Whole number in [0, 2^32), different for all ids below 2^31."""
+    start = seed * SEED_MULTIPLIER % HASH_RANGE
+    return F.pmod(F.pmod(id_col, F.lit(ID_RANGE)) * F.lit(HASH_MULTIPLIER) + F.lit(start), F.lit(HASH_RANGE))
 
 
 def shuffled(df: DataFrame, id_col: str, seed: int) -> DataFrame:

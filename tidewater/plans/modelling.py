@@ -239,7 +239,7 @@ def experiment_summary(spark, d):
     cands = L.numeric_candidates(rows, STATS)
     out = None
     for seed in (1, 2, 3):
-        marked = rows.withColumn("is_train", seeded_hash(F.col("doc_id"), seed * 7919) < int(0.8 * 4294967296))
+        marked = rows.withColumn("is_train", seeded_hash(F.col("doc_id"), seed) < int(0.8 * 4294967296))
         train, test = marked.filter("is_train"), marked.filter(~F.col("is_train"))
         near = N.vote(N.knn(train, test, 5, "doc_id", "vec"), train, "doc_id", "label").withColumnRenamed("q_id", "doc_id")
         tree = Q.fit_score([DecisionTreeClassifier(impurity="entropy", **LABEL)], marked, F.col("is_train"))
@@ -254,9 +254,10 @@ def experiment_summary(spark, d):
         }
         for name, p in said.items():
             p = p.select(F.col("label").cast("string").alias("label"), F.col("predicted").cast("string").alias("predicted"))
-            m = M.macro_prf(p, "label", "predicted").withColumn("accuracy", M.accuracy(p, "label", "predicted").select("accuracy").scalar())
-            m = m.withColumn("model", F.lit(name)).withColumn("seed", F.lit(seed))
-            out = m if out is None else out.unionByName(m)
+            p = p.withColumn("model", F.lit(name)).withColumn("seed", F.lit(seed))
+            out = p if out is None else out.unionByName(p)
+    out = M.scores_by(settle(out, "predictions"), ["model", "seed"], "label", "predicted")
+    rows.unpersist()
     names = ["accuracy", "macro_precision", "macro_recall", "macro_f1"]
     return out.groupBy("model").agg(
         F.count("*").alias("runs"),

@@ -7,7 +7,7 @@ from tidewater.operators import sampling as P
 from tidewater.plans.registry import query
 from tidewater.session import table
 
-HASH = "((({id} % 2147483648) * 2654435761 + {seed}) % 4294967296)"
+HASH = "((({id} % 2147483648) * 2654435761 + {seed} * 2246822519 % 4294967296) % 4294967296)"
 
 
 def hash_sql(id_col: str, seed: int) -> str:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, mixing, token_files
+from tidewater.llm import language, mixing, sketches, token_files
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -25,6 +25,11 @@ def query(fn: Plan) -> Plan:
     return fn
 
 
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE)

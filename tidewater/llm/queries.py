@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, mixing, sketches, token_files
+from tidewater.llm import language, mixing, sketches, token_files, toxicity
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -44,6 +44,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id").alias("held_out"))
+    bad = table(spark, sf_dir, "labels").filter("toxic in (0, 1)").select("doc_id", F.col("toxic").alias("bad")).distinct()
+    lexicon = toxicity.fit_lexicon(docs.filter("not held_out").join(bad, "doc_id"))
+    return toxicity.score_toxicity(spread(docs), lexicon).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_words(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, mixing, sketches, token_files, toxicity
+from tidewater.llm import language, mixing, sketches, token_files, toxicity, transducer
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -18,6 +18,7 @@ PLANS: dict[str, Plan] = {}
 TWINS: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn: Plan) -> Plan:
@@ -52,6 +53,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(spread(docs), lexicon).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return transducer.encoded_digest(docs, PIECE_BPE).drop("text")
+
+
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_words(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))

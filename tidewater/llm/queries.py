@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, mixing, sketches, token_files, toxicity, transducer, vantage
+from tidewater.llm import forest, language, mixing, sketches, token_files, toxicity, transducer, vantage
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -31,6 +31,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vantage.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)

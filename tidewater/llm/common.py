@@ -7,7 +7,10 @@ nothing but the bytes, so a re-run task repeats them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,19 @@ MIX_B = np.uint64(0x94D049BB133111EB)
 STEP = 0x9E3779B97F4A7C15
 
 
+def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """An object that later tasks of the same Python worker find again.
+
+    Task functions travel by value, so their own globals last for one task; a
+    module of its own outlives it.  What is kept must be bounded and must not
+    change results.
+    """
+    home = sys.modules.setdefault("_tidewater_worker", types.ModuleType("_tidewater_worker"))
+    if key not in home.__dict__:
+        home.__dict__[key] = make()
+    return home.__dict__[key]
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, remembered for up to CACHE_WORDS words."""
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import pieces, raw
+from tidewater.llm.common import per_worker, pieces
 from tidewater.session import scratch_path, settle
 
 MAGIC = b"TIDX0001"
@@ -40,7 +40,7 @@ HEAD = "<8sIQQ"  # magic, bytes of an id, keys, buckets
 KEY = "<?qI"  # null, id, occurrence
 KEYS_A_BUCKET = 4
 TRIES = 64
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 DOCS_A_SHARD = 8192
 
 
@@ -54,44 +54,51 @@ class PieceIds(dict):
     characters that are not blanks, nor across a line feed between two such, so
     a text's ids are those of its pieces.  A full stop or comma after a letter
     is a piece of its own as well.  A piece beginning with a line feed has no
-    blank before it.  Anything else raises KeyError and the whole text goes to
-    the tokenizer as it is.
+    blank before it.  Pieces of any other make raise KeyError; the tokenizer
+    then gets the whole text.
+
+    Two generations of entries are kept: when the younger is full it becomes the
+    older one, so frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, encode) -> None:
+    def __init__(self, encode_all) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode_all = encode_all
+        self.older: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", encode_all([".", ","]), strict=True))
 
-    def __missing__(self, piece: str) -> bytes:
+    @staticmethod
+    def sound(piece: str) -> bool:
         if not piece or piece[-1].isspace():
-            raise KeyError(piece)
-        if piece[0] == "\n":
-            if piece[1].isspace():
-                raise KeyError(piece)
-            text = piece
-        elif piece[0].isspace():
-            raise KeyError(piece)
-        else:
-            text = " " + piece
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
-            ids = self[piece[:-1]] + self.mark(piece[-1])
-        else:
-            ids = self.encode(text)
-        self[piece] = ids
-        return ids
+            return False
+        return not piece[piece[0] == "\n"].isspace()
 
-    def mark(self, sign: str) -> bytes:
-        # two characters, so never the key of a piece
-        key = "\n " + sign
-        if key not in self:
-            self[key] = self.encode(sign)
-        return self[key]
+    @staticmethod
+    def stem(piece: str) -> str:
+        return piece[:-1] if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha() else piece
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece in self.older:
+            self[piece] = found = self.older[piece]
+            return found
+        raise KeyError(piece)
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the sound ones of the pieces that are not known, in one call."""
+        new = [p for p in pieces if p not in self and p not in self.older and self.sound(p)]
+        if len(self) + len(new) > CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
+        stems = list({self.stem(p) for p in new})
+        fresh = [p for p in stems if p not in self and p not in self.older]
+        self.update(zip(fresh, self.encode_all([p if p[0] == "\n" else " " + p for p in fresh]), strict=True))
+        for p in new:
+            if p not in self:
+                self[p] = self[self.stem(p)] + self.marks[p[-1]]
 
 
 class Encoder:
-    """Whole texts to raw ids with a tokenizer file, loaded once for each task."""
+    """Whole texts to raw ids with a tokenizer file."""
 
     def __init__(self, tokenizer: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,24 +107,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.byte_level = "ByteLevel" in repr(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
-        self.pieces = PieceIds(self.whole)
+        self.pieces = PieceIds(self.plain) if self.byte_level else None
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """The tokenizer's own ids."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(f.ids)}{self.code}", *f.ids) for f in found]
 
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.byte_level:
-            return self.whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        try:
-            if not first or first[0].isspace() or first[-1].isspace():
-                return self.whole(text)
-            return self.whole(first) + b"".join(map(self.pieces.__getitem__, rest))
-        except KeyError:
-            return self.whole(text)
+            return self.plain(texts)
+        split = [t.replace("\n", " \n").split(" ") for t in texts]
+        self.pieces.learn({p for words in split for p in words[1:]})
+        firsts = self.plain([w[0] for w in split])
+        out = []
+        for text, words, first in zip(texts, split, firsts, strict=True):
+            try:
+                if len(words) > 1 and not (self.pieces.sound(words[0]) and words[0][0] != "\n"):
+                    raise KeyError(words[0])
+                out.append(first + b"".join(map(self.pieces.__getitem__, words[1:])))
+            except KeyError:
+                out += self.plain([text])
+        return out
 
 
 # ---- minimal perfect hash
@@ -222,7 +235,7 @@ def _writer(folder: str, tokenizer: str, end_id: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         part, name = task.partitionId(), f"{task.partitionId():06d}-{task.taskAttemptId()}"
-        encode = Encoder(tokenizer)
+        encode = per_worker(("byte pairs", tokenizer), lambda: Encoder(tokenizer))
         end = b"" if end_id is None else np.array([end_id], dtype=encode.kind).tobytes()
         store, root = _opened(folder)
         store.create_dir(root, recursive=True)
@@ -230,12 +243,12 @@ def _writer(folder: str, tokenizer: str, end_id: int | None):
         with store.open_output_stream(f"{root}/{name}.ids") as out:
             for batch in batches:
                 for slim in pieces(batch):
-                    ids, texts = slim.column(0).to_pylist(), slim.column(1).to_pylist()
-                    for key, text in zip(ids, texts, strict=True):
+                    ids = slim.column(0).to_pylist()
+                    for key, body in zip(ids, encode(slim.column(1).to_pylist()), strict=True):
                         nth = nth + 1 if keys and key == last else 0
                         last = key
                         keys.append(struct.pack(KEY, key is None, key or 0, nth))
-                        body = encode(text) + end
+                        body += end
                         lengths.append(len(body) // encode.kind.itemsize)
                         out.write(body)
         length = np.array(lengths, dtype=np.int64)

@@ -20,13 +20,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import pieces
+from tidewater.llm.common import per_worker, pieces
 
 # Fixed value: the mark that stands for a blank.
 MARK = "▁"
@@ -110,6 +109,7 @@ class PieceTransducer:
         self.stable = {p: self.merged(p) == [p] for p in self.id_of}
         self.pairs: dict[tuple[str, str], float] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # ---- weights
 
@@ -177,13 +177,15 @@ class PieceTransducer:
         """Raw ids of a run of symbols between two places of cutting."""
         found = self.words.get(symbols)
         if found is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            cut = list(self.parts(symbols))
-            if len(cut) == 1:
-                found = np.array(self._ids(symbols), dtype=self.kind).tobytes()
-            else:
-                found = b"".join(map(self.word, cut))
+            found = self.older.get(symbols)
+            if found is None:
+                cut = list(self.parts(symbols))
+                if len(cut) == 1:
+                    found = np.array(self._ids(symbols), dtype=self.kind).tobytes()
+                else:
+                    found = b"".join(map(self.word, cut))
+            if len(self.words) >= CACHE_WORDS:  # the younger generation becomes the older
+                self.older, self.words = self.words, {}
             self.words[symbols] = found
         return found
 
@@ -211,9 +213,8 @@ class PieceTransducer:
         return self.normalise.back(b"".join(map(self.written.__getitem__, ids.tolist())).decode("utf-8", "replace"))
 
 
-@lru_cache(maxsize=2)
 def loaded(model_file: str) -> PieceTransducer:
-    return PieceTransducer(model_file)
+    return per_worker(("pieces", model_file), lambda: PieceTransducer(model_file))
 
 
 def _checks(model_file: str, place: int, names: list[str]):

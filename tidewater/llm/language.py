@@ -124,7 +124,7 @@ def fit_languages(
     has a fixed bound.
     """
     known = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    sizes = known.groupBy(label).agg(F.count("*").alias("_n"))
+    sizes = settle(known.groupBy(label).agg(F.count("*").alias("_n")), "labels")
     picked = known.join(small(sizes), label).filter(
         unit_draw(F.xxhash64(text), F.lit(seed)) < F.lit(float(sample)) / F.col("_n")
     )

@@ -120,6 +120,7 @@ def mixed(
     Null ids and null sources are values like any other.  A document's copies
     are the floor or the ceiling of its source's target over its size.
     """
+    sizes = settle(sizes.select("doc_id", "source", "size"), "sizes")  # the words are counted once
     targets = settle(source_targets(sizes, weights, share, most), "targets")
     units = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_rows"))
     counts = units.groupBy(F.col("source").alias("_counted")).agg(F.count("*").alias("_n"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import forest, language, lines, mixing, sketches, token_files, toxicity, transducer, vantage
+from tidewater.llm import forest, language, lines, mixing, passages, sketches, token_files, toxicity, transducer, vantage
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -70,6 +70,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.encoded_digest(docs, PIECE_BPE).drop("text")
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.strip_repeats(table(spark, sf_dir, "documents")).drop("rest")
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -172,12 +172,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     kept = docs.columns
     sized = with_words(docs, name="_size")
     copies = mixed(sized.select("doc_id", "source", F.col("_size").alias("size")), **options)
-    copies = copies.filter("copies > 0").select(
+    copies = settle(copies.filter("copies > 0"), "copies").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "copies"
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
     return (
-        sized.join(copies, same)
+        sized.join(small(copies), same)
         .withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select(*kept)
     )

@@ -169,15 +169,10 @@ def mixed(
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as its copies say, columns as given."""
-    kept = docs.columns
-    sized = with_words(docs, name="_size")
-    copies = mixed(sized.select("doc_id", "source", F.col("_size").alias("size")), **options)
-    copies = settle(copies.filter("copies > 0"), "copies").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "copies"
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
-    return (
-        sized.join(small(copies), same)
-        .withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*kept)
-    )
+    rows = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
+    sized = with_words(rows).drop("text")
+    copies = settle(mixed(sized.select("doc_id", "source", "size"), **options).filter("copies > 0"), "copies")
+    copies = copies.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("size") == F.col("_size"))
+    taken = sized.join(small(copies), same).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select("row.*")

@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import WordHashes, hash_words, lists, mix, pieces, raw, rolled
-from tidewater.llm.linking import confirmed_components
+from tidewater.llm.linking import by_jaccard, confirmed_components, least_agreement
 from tidewater.operators.relational import small
 from tidewater.session import settle, spread
 
 WIDTH = 5
 PERCENT = 75
-KEEP = 64
-# Share of a sketch that two documents must have in common.  At a resemblance of
-# 0.75 fewer than half of 64 values agree with a chance of about 1e-6.
-SHARED = 0.5
+KEEP = 96
+# Shared rare values that make a pair a candidate: more of them rule out pairs
+# that agree on frequent values alone.
+NEED = 8
 
 
 def shingle_set(text: bytes | None, width: int, seen: WordHashes) -> np.ndarray:
@@ -74,20 +74,21 @@ def _sets(width: int):
     return run
 
 
-def overlap_lists(sketches: DataFrame, shared: float = SHARED) -> DataFrame:
-    """(key, id): the rarest sketch values, each with the documents that keep it.
+def overlap_lists(sketches: DataFrame, share: float, k: int, need: int = NEED) -> DataFrame:
+    """(key, id, need): the rarest sketch values, each with the documents that keep it.
 
-    Two sketches with ``shared`` of their values in common meet in one of the
-    first s - ceil(shared * s) + 1 values of either, in the order of frequency.
-    Values of a single document come first in that order and list nobody.
+    Two sketches of s values that have t of them in common share c of the first
+    s - t + c values of either, in the order of frequency.  Values of a single
+    document come first in that order and list nobody.
     """
     rows = sketches.select("id", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
     often = rows.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1")
     own = rows.join(often, "v").groupBy("id", "s").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("vs"))
-    room = F.col("s") - F.ceil(F.col("s") * F.lit(shared)) + 1 - (F.col("s") - F.size("vs"))
-    first = own.withColumn("room", room.cast("int")).filter("room > 0")
-    return first.select("id", F.explode(F.slice("vs", F.lit(1), F.col("room"))).alias("x")).select(
-        F.col("x.v").alias("key"), "id"
+    common = F.ceil(F.col("s") * F.when(F.col("s") < k, share).otherwise(least_agreement(share, k)) - 1e-9)
+    own = own.withColumn("common", common.cast("int")).withColumn("need", F.least(F.lit(need), "common"))
+    first = own.withColumn("room", F.size("vs") - F.col("common") + F.col("need")).filter("room > 0")
+    return first.select("id", "need", F.explode(F.slice("vs", F.lit(1), F.col("room"))).alias("x")).select(
+        F.col("x.v").alias("key"), "id", "need"
     )
 
 
@@ -105,29 +106,18 @@ def near_duplicates(
     facts = settle(spread(texts).mapInArrow(_sketch(width, k), spec), "sketches")
     able = facts.filter("id is not null and n > 0")
     classes = settle(able.groupBy("n", "p1", "p2").agg(F.min("id").alias("rep")), "classes")
-    reps = able.join(classes, ["n", "p1", "p2"]).filter("id = rep").select("id", "n", "sketch").distinct()
-    reps = settle(reps, "reps")
-    shared = settle(overlap_lists(reps).distinct(), "overlaps")
+    reps = able.join(small(classes), ["n", "p1", "p2"]).filter("id = rep").select("id", "n", "sketch").distinct()
+    shared = settle(overlap_lists(reps, percent / 100, k).dropDuplicates(["key", "id"]), "overlaps")
     able_ids = settle(shared.select("id").distinct(), "ids")
     sets = settle(texts.join(small(able_ids), "id", "left_semi").mapInArrow(_sets(width), "id bigint, items array<bigint>"), "sets")
 
-    def side(df: DataFrame, name: str, *cols: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(side(reps, "a", "sketch"), "a").join(side(reps, "b", "sketch"), "b")
-        union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, k)
-        agree = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-        likely = both.filter(agree >= F.lit(shared_of(percent)) * F.size(union)).select("a", "b").distinct()
-        full = likely.join(side(sets, "a", "items"), "a").join(side(sets, "b", "items"), "b")
-        common = F.size(F.array_intersect("items_a", "items_b"))
-        union_size = F.size("items_a") + F.size("items_b") - common
-        return full.filter(100 * common >= percent * union_size).select("a", "b").distinct()
-
-    found = confirmed_components(shared, confirm)
+    # an id with several texts ties their classes together
+    several = able.join(small(classes), ["n", "p1", "p2"]).groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    tied = settle(several.filter("a < b").select("a", "b"), "tied")
+    facts_of = settle(reps.join(small(able_ids), "id", "left_semi").select("id", F.col("n").alias("m"), "sketch"), "able")
+    found = confirmed_components(shared, by_jaccard(facts_of, sets, percent, k), tied)
     placed = facts.join(classes, ["n", "p1", "p2"], "left").join(found, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
-    # ids that repeat with other texts meet in one component as well
     return placed.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -135,7 +125,3 @@ def near_duplicates(
         F.when(F.col("id").isNotNull(), F.col("id") == component).otherwise(True).alias("kept"),
     )
 
-
-def shared_of(percent: int) -> float:
-    """Least agreement of union sketches that is looked at: the threshold less a quarter."""
-    return max(0.0, percent / 100 - 0.25)

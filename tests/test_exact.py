@@ -231,16 +231,72 @@ def test_threshold_curve_grows(spark):
     assert [(r["kept"], r["correct"]) for r in rows] == [(10, 4), (3, 3), (3, 3)]
 
 
-@pytest.mark.parametrize("linkage", ["centroid", "ward"])
-def test_hierarchical_finds_far_groups(spark, linkage):
+def test_bisecting_finds_far_groups(spark):
     from tidewater.operators import clusters as C
 
     x = points(90, 2, 3)
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id bigint, v array<double>")
-    for micro in (2000, 12):  # exact, and compressed
-        got = {r["id"]: r["cluster"] for r in C.hierarchical(df, "id", "v", 3, linkage, micro=micro).collect()}
-        groups = [{got[i] for i in range(k * 30, k * 30 + 30)} for k in range(3)]
-        assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
+    got = {r["id"]: r["cluster"] for r in C.bisecting(df, "id", "v", 3).collect()}
+    groups = [{got[i] for i in range(k * 30, k * 30 + 30)} for k in range(3)]
+    assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
+
+
+def test_seeds_are_independent(spark):
+    """Overlaps of the samples of twelve seeds, in standard deviations from chance."""
+    flags = [(P.seeded_hash(F.col("id"), seed) < int(0.2 * P.HASH_RANGE)).alias(f"s{seed}") for seed in range(1, 13)]
+    drawn = np.array([list(r) for r in spark.range(10_000).select(*flags).collect()])
+    z = []
+    for a, b in itertools.combinations(range(12), 2):
+        na, nb = drawn[:, a].sum(), drawn[:, b].sum()
+        spread = np.sqrt(na * nb / 1e4 * (1 - na / 1e4) * (1 - nb / 1e4))
+        z.append(((drawn[:, a] & drawn[:, b]).sum() - na * nb / 1e4) / spread)
+    assert max(map(abs, z)) < 4 and 0.6 < np.mean(np.square(z)) < 1.5
+
+
+def test_hash_uses_the_whole_id(spark):
+    ids = spark.createDataFrame([(i + (k << 31),) for i in range(200) for k in (0, 1)], "id bigint")
+    marks = {r.id: r.h for r in ids.select("id", P.seeded_hash(F.col("id"), 5).alias("h")).collect()}
+    assert len(set(marks.values())) > 390
+    words = spark.createDataFrame([("a",), (None,)], "id string").select(P.seeded_hash(F.col("id"), 5)).collect()
+    assert words[0][0] is not None and words[1][0] is None
+
+
+def test_row_slice_of_short_tables(spark):
+    df = spark.range(12).withColumnRenamed("id", "x")
+    assert [r.x for r in O.row_slice(df, ["x"], 10, 20).orderBy("x").collect()] == [9, 10, 11]
+    assert [r.x for r in O.row_slice(df, [F.desc("x")], 1, 2).collect()] == [11, 10]
+    assert O.row_slice(df, ["x"], 13, 20).count() == 0
+
+
+def test_slices_keep_nulls(spark):
+    from tidewater.plans.streams import slices
+
+    df = spark.createDataFrame([(1,), (2,), (None,), (3,), (None,)], "x int")
+    assert sorted(repr(r.x) for part in slices(df, "x") for r in part.collect()) == ["1", "2", "3", "None", "None"]
+
+
+def test_empty_needles_are_in_every_text(spark):
+    hay = spark.createDataFrame([(1, "abc"), (2, ""), (3, None)], "h int, t string")
+    pins = spark.createDataFrame([(7, "", "b"), (8, "", ""), (9, "c", "a"), (10, None, "a")], "n int, a string, b string")
+    got = {tuple(r) for r in Y.join_contains(hay, "h", "t", pins, "n", ["a", "b"]).collect()}
+    assert got == {(1, 7), (1, 8), (2, 8), (1, 9)}
+
+
+def test_histogram_drops_nothing(spark):
+    from tidewater.operators import charts as H
+
+    df = spark.createDataFrame([(-25.0,), (0.0,), (9.9,), (35.0,), (None,)], "v double")
+    rows = H.histogram_bins(df, "v", 0.0, 10.0).orderBy("bin").collect()
+    assert [(r.bin, r.n) for r in rows] == [(-3, 1), (-2, 0), (-1, 0), (0, 2), (1, 0), (2, 0), (3, 1)]
+
+
+def test_corpus_folder_names(spark, tmp_path):
+    from tidewater.sources import text
+
+    for folder in ("sport", "news"):
+        (tmp_path / "c" / folder).mkdir(parents=True)
+        (tmp_path / "c" / folder / "cv123_x.txt").write_text("one line\n")
+    assert sorted((r.label, r.fold) for r in text.corpus(spark, str(tmp_path / "c")).collect()) == [("news", 2), ("sport", 2)]
 
 
 def test_library_agrees_with_closed_forms(spark):

@@ -53,6 +53,9 @@ def lexicon_lookup(toks: DataFrame, lexicon: DataFrame, keys: Sequence[str], val
     return toks.join(small(lexicon), list(keys), "left").withColumn(value, F.coalesce(F.col(value), default))
 
 
+# The chunk and chink patterns of the two functions below.
+
+
 def tag_chunks(tagged: Column) -> Column:
     """Noun chunks over a tag string such as ``the/DT red/JJ ...`` reduced to
     tags: adverbs and verbs, then proper nouns, then one noun at most."""
@@ -144,8 +147,3 @@ def porter_stem(word: str) -> str:
 @F.pandas_udf(T.StringType())
 def stem(col: pd.Series) -> pd.Series:
     return col.map(porter_stem, na_action="ignore")
-
-
-def stem_table(toks: DataFrame, word: str) -> DataFrame:
-    """(word, stem) of the distinct words: each is stemmed once, then joined."""
-    return toks.select(word).distinct().withColumn("stem", stem(F.col(word)))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewater.session import settle
+
 
 def scatter_frame(df: DataFrame, series: Column, x: Column, y: Column, colour: Column, size: Column, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(
@@ -56,21 +58,20 @@ def bar_extent(bars: DataFrame, stacked: bool) -> DataFrame:
     return bars.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
 
 
-def histogram_bins(df: DataFrame, value: str, lo: float, width: float, n_bins: int, series: str | None = None) -> DataFrame:
-    """Counts per bin and series; empty bins show, the last bin is closed.
+def histogram_bins(df: DataFrame, value: str, lo: float, width: float, series: str | None = None) -> DataFrame:
+    """Counts per bin and series over the extent of the data; empty bins show.
 
-    Rows are counted by bin number first; the grid of bins is joined after.
+    Bins are half open and numbered from ``lo``, below which the numbers are
+    negative.  Rows are counted by bin first; the grid of bins is joined after.
     """
-    spark = df.sparkSession
     name = F.col(series) if series else F.lit("all")
-    pos = F.least(F.floor((F.col(value) - F.lit(lo)) / F.lit(width)), F.lit(n_bins - 1))
-    counts = (
-        df.select(name.alias("series"), pos.cast("bigint").alias("bin"))
-        .filter((F.col("bin") >= 0) & F.col("bin").isNotNull())
-        .groupBy("series", "bin")
-        .agg(F.count("*").alias("n"))
+    pos = F.floor((F.col(value) - F.lit(lo)) / F.lit(width))
+    counts = settle(
+        df.select(name.alias("series"), pos.cast("bigint").alias("bin")).filter("bin is not null").groupBy("series", "bin").agg(F.count("*").alias("n")),
+        "bins",
     )
-    grid = counts.select("series").distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1)).cast("array<bigint>")))
+    extent = counts.agg(F.min("bin").alias("_lo"), F.max("bin").alias("_hi"))
+    grid = counts.select("series").distinct().join(F.broadcast(extent)).select("series", F.explode(F.sequence("_lo", "_hi")).alias("bin"))
     full = grid.join(counts, ["series", "bin"], "left").na.fill(0, ["n"])
     edge = F.lit(lo) + F.col("bin") * F.lit(width)
     w = W.partitionBy("bin").orderBy("series").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -1,4 +1,4 @@
-"""Centroid and hierarchical clustering, and the indices that judge them."""
+"""Centroid and top-down hierarchical clustering, and the indices that judge them."""
 
 from __future__ import annotations
 
@@ -7,16 +7,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_MICRO = 2000
-
-
 def as_features(df: DataFrame, array_col: str, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.col(array_col).cast("array<double>")))
 
@@ -157,63 +154,12 @@ def cluster_indices(df: DataFrame, vec: str, ks: Sequence[int], seed: int = 1) -
 # ------------------------------------------------------------- hierarchical
 
 
-def _merge_order(centres: np.ndarray, weights: np.ndarray, cut: int, linkage: str) -> np.ndarray:
-    """Cluster number of each micro-cluster after merging down to ``cut``.
-
-    Lance-Williams updates; centroid linkage works on plain distances, Ward on
-    squared ones.  At most MAX_MICRO rows come in.
-    """
-    d = np.sqrt(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(2))
-    size = weights.astype(float)
-    if linkage == "ward":
-        d = d**2 * 2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :])
-    np.fill_diagonal(d, np.inf)
-    member, alive = np.arange(len(centres)), len(centres)
-    while alive > cut:
-        i, j = sorted(divmod(int(d.argmin()), len(d)))
-        ni, nj, nk, dij = size[i], size[j], size, d[i, j]
-        with np.errstate(invalid="ignore"):
-            if linkage == "ward":
-                new = ((ni + nk) * d[i] + (nj + nk) * d[j] - nk * dij) / (ni + nj + nk)
-            else:
-                new = (ni * d[i] + nj * d[j]) / (ni + nj) - ni * nj * dij / (ni + nj) ** 2
-        new[~np.isfinite(d[i]) | ~np.isfinite(d[j])] = np.inf
-        d[i, :] = d[:, i] = new
-        d[i, i] = np.inf
-        d[j, :] = d[:, j] = np.inf
-        size[i] += size[j]
-        member[member == j] = i
-        alive -= 1
-    _, numbered = np.unique(member, return_inverse=True)
-    return numbered
-
-
-def hierarchical(df: DataFrame, id_col: str, vec: str, cut: int, linkage: str, micro: int = MAX_MICRO, seed: int = 1) -> DataFrame:
-    """(id, cluster) of an agglomerative clustering cut at ``cut`` clusters.
-
-    Distinct points up to ``micro`` are merged as they are, which is exact.
-    More points are first compressed by k-means to ``micro`` weighted centres;
-    the merge then runs on those and the rows take their centre's cluster.
-    """
-    micro = min(micro, MAX_MICRO)
-    pts = df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
-    distinct = pts.groupBy("vec").agg(F.count("*").alias("n"))
-    head = distinct.orderBy("vec").limit(micro + 1).toPandas()
-    if len(head) <= micro:
-        centres, weights = np.asarray(head["vec"].tolist()), head["n"].to_numpy()
-    else:
-        feats = as_features(pts, "vec").persist()
-        model = kmeans_best(feats, micro, iterations=20, seed=seed)
-        centres = np.asarray(model.clusterCenters())
-        counts = model.transform(feats).groupBy("prediction").count().toPandas()
-        feats.unpersist()
-        weights = np.zeros(len(centres))
-        weights[counts["prediction"]] = counts["count"]
-        centres, weights = centres[weights > 0], weights[weights > 0]
-    group = _merge_order(centres, weights, min(cut, len(centres)), linkage)
-    found = df.sparkSession.createDataFrame([(i, int(g)) for i, g in enumerate(group)], "cluster int, group int")
-    placed = pts.select("id", nearest_centre(centres, F.col("vec"))["cluster"].alias("cluster"))
-    return placed.join(F.broadcast(found), "cluster").select("id", F.col("group").alias("cluster"))
+def bisecting(df: DataFrame, id_col: str, vec: str, cut: int, seed: int = 1) -> DataFrame:
+    """(id, cluster) of a hierarchy grown from the top: clusters are split in two
+    by k-means until there are ``cut``.  It needs no distance between rows."""
+    feats = as_features(df.select(F.col(id_col).alias("id"), vec), vec)
+    model = BisectingKMeans(k=cut, seed=seed).fit(feats)
+    return model.transform(feats).select("id", F.col("prediction").alias("cluster"))
 
 
 # --------------------------------------------------------- random features

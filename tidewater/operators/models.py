@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.ml.functions import vector_to_array
 
 
 def fit_score(stages: Sequence, df: DataFrame, train: Column | None = None, label: str = "label") -> DataFrame:
@@ -75,7 +74,3 @@ def sentiment(texts: DataFrame, key: str, feature_path: str, model_paths: Sequen
         rows = last.transform(rows).drop(f"_r{i}", f"_q{i}")
         names.append(F.col(f"_p{i}").cast("int"))
     return rows.select(key, row_vote(F.array(*names)).alias("_v")).select(key, "_v.*")
-
-
-def with_confidence(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("confidence", F.array_max(vector_to_array("probability")))

@@ -26,6 +26,16 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return int(n or 0)
 
 
+def row_slice(df: DataFrame, order: Sequence, first: int, last: int) -> DataFrame:
+    """Rows ``first`` to ``last`` under a total order, counted from 1.
+
+    A top-k of ``last`` rows; only those are numbered.
+    """
+    nth = F.row_number().over(W.orderBy(*order))
+    head = df.orderBy(*order).limit(last)
+    return head.withColumn("_nth", nth).filter(F.col("_nth") >= first).drop("_nth")
+
+
 def with_position(df: DataFrame, order: Sequence, name: str = "row_idx") -> DataFrame:
     """Zero-based position of every row under a total order.
 

@@ -1,7 +1,8 @@
 """Reproducible shuffles, samples, splits and folds.
 
-Randomness is an arithmetic hash of (id, seed), so a retried task, another
-partitioning or another engine yields the same answer.  Exact splits find the
+Randomness is the first 32 bits of md5 over "id:seed", so a retried task, another
+partitioning or another engine yields the same answer, ids may be numbers or
+strings of any length, and two seeds have nothing to do with each other.  Exact splits find the
 hash value that cuts off the wanted number of rows by two rounds of counting;
 no row is sorted or moved to rank it.
 """
@@ -17,18 +18,14 @@ from pyspark.sql import functions as F
 from tidewater.operators.relational import small
 from tidewater.session import settle
 
-# The multiplicative hash that SQL twins repeat.
-HASH_MULTIPLIER = 2654435761
-SEED_MULTIPLIER = 2246822519
-HASH_RANGE = 4294967296
-ID_RANGE = 2147483648
+HASH_RANGE = 1 << 32
 BUCKET = 65536
 
 
 def seeded_hash(id_col: Column, seed: int) -> Column:
-    """Whole number in [0, 2^32), different for all ids below 2^31."""
-    start = seed * SEED_MULTIPLIER % HASH_RANGE
-    return F.pmod(F.pmod(id_col, F.lit(ID_RANGE)) * F.lit(HASH_MULTIPLIER) + F.lit(start), F.lit(HASH_RANGE))
+    """Whole number in [0, 2^32) from all of the id; null for a null id."""
+    digest = F.md5(F.concat(id_col.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def shuffled(df: DataFrame, id_col: str, seed: int) -> DataFrame:
@@ -114,7 +111,7 @@ def split_counted(
 def sample_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """All rows of n distinct keys, the keys picked by hash."""
     chosen = df.select(key).distinct().orderBy(seeded_hash(F.col(key), seed), key).limit(n)
-    return df.join(F.broadcast(chosen), key, "left_semi")
+    return df.join(small(settle(chosen, "keys")), key, "left_semi")
 
 
 def tail_holdout(df: DataFrame, order_col: str, round_size: int) -> DataFrame:

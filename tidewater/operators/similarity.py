@@ -68,13 +68,18 @@ def join_contains(
 
     The first needle column finds the candidates: by its rarest inner word if
     it has three words or more, else by its rarest gram of up to three
-    characters.  Texts cross the network only when they have a candidate.
+    characters.  Texts are joined to the candidates by their id.
     """
     h = hay.select(F.col(hay_id).alias("hid"), F.col(hay_text).alias("text"))
     n = needles.select(F.col(needle_id).alias("nid"), *[F.col(c).alias(f"n{i}") for i, c in enumerate(needle_cols)])
-    n = n.filter(F.col("n0") != "").withColumn("_w", F.size(_inner_words(F.col("n0"))))
-    n = settle(n, "needles")
+    n = settle(n.withColumn("_w", F.size(_inner_words(F.col("n0")))), "needles")
+    every = n
+    # every text contains the empty string: such needles meet all texts, as their definition says
+    blank = n.filter("n0 = ''").select("nid")
     pairs = None
+    if blank.limit(1).count():
+        pairs = h.filter("text is not null").select("hid").join(small(blank))
+        n = n.filter("n0 <> ''")
     shapes = [(F.col("_w") > 0, _word_keys(F.col("text")), _inner_words(F.col("n0")))]
     for size in range(1, GRAM + 1):
         fits = F.length("n0") == size if size < GRAM else F.length("n0") >= size
@@ -87,7 +92,7 @@ def join_contains(
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:
         pairs = h.sparkSession.createDataFrame([], "hid bigint, nid bigint")
-    tested = pairs.join(small(n.drop("_w")), "nid").join(h, "hid")
+    tested = pairs.join(small(every.drop("_w")), "nid").join(h, "hid")
     for i in range(len(needle_cols)):
         tested = tested.filter(F.contains("text", F.col(f"n{i}")))
     return tested.select(F.col("hid").alias(hay_id), F.col("nid").alias(needle_id))

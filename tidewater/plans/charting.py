@@ -101,14 +101,14 @@ def bar_counts(spark, d):
 
 @query(
     "histogram_bins",
-    """WITH c AS (SELECT event_type AS series, least(floor(value / 10), 59)::BIGINT AS bin, count(*) AS n FROM events GROUP BY 1, 2),
-       g AS (SELECT series, unnest(range(60))::BIGINT AS bin FROM (SELECT DISTINCT series FROM c)),
+    """WITH c AS (SELECT event_type AS series, floor(value / 10)::BIGINT AS bin, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2),
+       g AS (SELECT series, unnest(range((SELECT min(bin) FROM c), (SELECT max(bin) + 1 FROM c)))::BIGINT AS bin FROM (SELECT DISTINCT series FROM c)),
        f AS (SELECT g.series, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.series = g.series AND c.bin = g.bin),
        s AS (SELECT *, sum(n) OVER (PARTITION BY bin ORDER BY series ROWS UNBOUNDED PRECEDING)::BIGINT AS stack_hi FROM f)
        SELECT series, bin, bin * 10.0::DOUBLE AS edge_lo, bin * 10.0::DOUBLE + 10 AS edge_hi, n, stack_hi - n AS stack_lo, stack_hi FROM s""",
 )
 def histogram_bins(spark, d):
-    return H.histogram_bins(table(spark, d, "events"), "value", 0.0, 10.0, 60, "event_type")
+    return H.histogram_bins(table(spark, d, "events"), "value", 0.0, 10.0, "event_type")
 
 
 @query(

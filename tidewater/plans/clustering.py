@@ -212,14 +212,10 @@ def solid(spark, d):
     return embeddings(spark, d).select("vec_id", "label", F.slice("embedding", 1, 3).cast("array<double>").alias("xyz"))
 
 
-@query("hier_centroid")
-def hier_centroid(spark, d):
-    return C.hierarchical(solid(spark, d), "vec_id", "xyz", 8, "centroid")
-
-
-@query("hier_ward")
-def hier_ward(spark, d):
-    return C.hierarchical(solid(spark, d), "vec_id", "xyz", 8, "ward")
+@query("bisecting_kmeans")
+def bisecting_kmeans(spark, d):
+    whole = embeddings(spark, d).select("vec_id", "embedding")
+    return C.bisecting(whole, "vec_id", "embedding", 8)
 
 
 @query("kernel_kmeans")

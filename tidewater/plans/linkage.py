@@ -12,7 +12,7 @@ from tidewater.session import spread, table
 @query(
     "join_contains",
     """SELECT doc_id, item_id FROM documents d JOIN benchmark b
-       ON contains(d.text, b.text) AND contains(d.text, split_part(b.text, '. ', 1)) WHERE b.text <> ''""",
+       ON contains(d.text, b.text) AND contains(d.text, split_part(b.text, '. ', 1))""",
 )
 def join_contains(spark, d):
     passages = table(spark, d, "benchmark").withColumn("head", F.substring_index("text", ". ", 1))

@@ -7,7 +7,7 @@ from tidewater.operators import sampling as P
 from tidewater.plans.registry import query
 from tidewater.session import table
 
-HASH = "((({id} % 2147483648) * 2654435761 + {seed} * 2246822519 % 4294967296) % 4294967296)"
+HASH = "('0x' || substr(md5({id}::VARCHAR || ':{seed}'), 1, 8))::BIGINT"
 
 
 def hash_sql(id_col: str, seed: int) -> str:
@@ -95,8 +95,7 @@ def top_k(spark, d):
 )
 def slice_rows(spark, d):
     ev = table(spark, d, "events").select("event_id", "event_type", "ts")
-    head = ev.orderBy("ts", "event_id").limit(20)
-    return head.orderBy(F.desc("ts"), F.desc("event_id")).limit(11).select("event_id", "event_type")
+    return O.row_slice(ev, ["ts", "event_id"], 10, 20).select("event_id", "event_type")
 
 
 @query(

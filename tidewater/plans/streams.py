@@ -20,16 +20,14 @@ SLICES = 3
 
 
 def slices(df, column):
-    """The rows in SLICES parts by the value of a column, in order."""
+    """The rows in SLICES parts by the value of a column, in order; nulls come first."""
     cuts = df.approxQuantile(column, [i / SLICES for i in range(1, SLICES)], 0.001)
     edges = [None, *cuts, None]
     for lo, hi in zip(edges, edges[1:]):
-        part = df
-        if lo is not None:
-            part = part.filter(F.col(column) >= lo)
-        if hi is not None:
-            part = part.filter(F.col(column) < hi)
-        yield part
+        above = F.lit(True) if lo is None else F.col(column) >= lo
+        below = F.lit(True) if hi is None else F.col(column) < hi
+        inside = above & below
+        yield df.filter(inside | F.col(column).isNull() if lo is None else inside)
 
 
 def messages(spark, d):

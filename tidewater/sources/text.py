@@ -77,13 +77,14 @@ def labelled_lines(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def corpus(spark: SparkSession, root: str) -> DataFrame:
-    """Corpus by class folder, one sentence per line, with the class and the
-    fold read from the path: tag ``cvNNN`` is fold NNN div 100 + 1."""
+    """Corpus by class folder, one sentence per line.  The class is the name of the
+    folder under the root; tag ``cvNNN`` in the path is fold NNN div 100 + 1."""
     path = F.col("_metadata.file_path")
+    folder = root.rstrip("/").rsplit("/", 1)[-1]
     lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(root)
     return lines.select(
         F.col("value").alias("sentence"),
-        F.regexp_extract(path, r"/(pos|neg)/", 1).alias("label"),
+        F.regexp_extract(path, rf"/\Q{folder}\E/([^/]+)/", 1).alias("label"),
         F.floor(F.regexp_extract(path, r"cv([0-9]{3})", 1).cast("int") / 100 + 1).cast("int").alias("fold"),
     )
 
@@ -92,11 +93,6 @@ def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
-def message_field(raw: Column, field: str) -> Column:
-    """Field of a JSON message, null where it is absent or the text is no JSON."""
-    return F.get_json_object(raw, f"$.{field}")
-
-
 def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Path, size and time of every file under a root; contents are not read."""
     return (

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.components import components
 from tidewater.session import settle
 
-PAIRS_A_ROW = 24
+PAIRS_A_ROW = 6
 ROUNDS = 6
 DRAWS = 1 << 20
 # Standard deviations that the agreement of two sketches may fall short of the

@@ -75,41 +75,46 @@ def build(points: np.ndarray, draw: np.random.Generator) -> list:
     return nodes
 
 
-def search(points: np.ndarray, nodes: list, queries: np.ndarray, k: int, factor: float) -> np.ndarray:
-    """Rows of the k nearest points of each query found, -1 where there are fewer."""
+def search(points: np.ndarray, nodes: list, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and scores of the k nearest points of each query found, row -1 where there are fewer.
+
+    ``points`` have equal norms.  Equal scores go to the smaller row.
+    """
     n = len(queries)
-    best_d = np.full((n, k), np.inf)
-    best_i = np.full((n, k), -1, dtype=np.int64)
-    norms = (points**2).sum(axis=1)
-    own = (queries**2).sum(axis=1)
+    best_s = np.full((n, k), -np.inf)
+    best_i = np.full((n, k), np.iinfo(np.int64).max)
+    both = (queries**2).sum(axis=1) + ((points**2).sum(axis=1).max() if len(points) else 0.0)
+
+    def scores(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return np.einsum("qd,rd->qr", queries[q], points[rows])
 
-    def distances(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(own[q][:, None] + norms[rows][None, :] - 2 * queries[q] @ points[rows].T, 0))
+    def distance(q: np.ndarray, score: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(both[q] - 2 * score, 0))
 
     def visit(at: int, q: np.ndarray) -> None:
         node = nodes[at]
         if len(node) == 1:
             rows = node[0]
-            d = np.concatenate([best_d[q], distances(q, rows)], axis=1)
+            s = np.concatenate([best_s[q], scores(q, rows)], axis=1)
             i = np.concatenate([best_i[q], np.broadcast_to(rows, (len(q), len(rows)))], axis=1)
-            pick = np.argpartition(d, k - 1, axis=1)[:, :k]
-            best_d[q] = np.take_along_axis(d, pick, axis=1)
+            pick = np.lexsort((i, -s), axis=1)[:, :k]
+            best_s[q] = np.take_along_axis(s, pick, axis=1)
             best_i[q] = np.take_along_axis(i, pick, axis=1)
             return
         vantage, near_lo, near_hi, far_lo, far_hi, near, far = node
-        d = distances(q, np.array([vantage]))[:, 0]
+        d = distance(q, scores(q, np.array([vantage]))[:, 0])
         gap_near = np.maximum(np.maximum(near_lo - d, d - near_hi), 0)
         gap_far = np.maximum(np.maximum(far_lo - d, d - far_hi), 0)
         inside = gap_near <= gap_far
         for side, gap, rows in ((near, gap_near, inside), (far, gap_far, ~inside), (far, gap_far, inside), (near, gap_near, ~inside)):
-            reach = factor * best_d[q].max(axis=1) + 1e-9
+            reach = factor * distance(q, best_s[q, -1]) + 1e-9
             go = rows & (gap <= reach)
             if go.any():
                 visit(side, q[go])
 
     if len(points) and n:
         visit(0, np.arange(n))
-    return best_i
+    return np.where(np.isinf(best_s), -1, best_i), best_s
 
 
 # ---- shards and blocks
@@ -118,10 +123,15 @@ def search(points: np.ndarray, nodes: list, queries: np.ndarray, k: int, factor:
 def _tree(key: tuple, frame: pd.DataFrame, most: float, k: int) -> pd.DataFrame:
     v = np.array(frame["v"].tolist(), dtype=np.float64)
     # equal vectors are one point; the k + 1 smallest of their ids may come out
-    points, of = np.unique(v, axis=0, return_inverse=True)
-    order = np.lexsort((frame["id"].to_numpy(), of.ravel()))
-    ids = frame["id"].to_numpy()[order]
-    edges = np.searchsorted(of.ravel()[order], np.arange(len(points) + 1))
+    by_id = np.argsort(frame["id"].to_numpy(), kind="stable")
+    v, every = v[by_id], frame["id"].to_numpy()[by_id]
+    _, first, of = np.unique(v, axis=0, return_index=True, return_inverse=True)
+    # points in the order of their smallest id
+    rank = np.argsort(np.argsort(first))
+    points, of = v[np.sort(first)], rank[of.ravel()]
+    order = np.argsort(of, kind="stable")
+    ids = every[order]
+    edges = np.searchsorted(of[order], np.arange(len(points) + 1))
     owners = [ids[a : min(b, a + k + 1)] for a, b in zip(edges[:-1], edges[1:], strict=True)]
     lift = np.sqrt(np.maximum(most**2 - (points**2).sum(axis=1), 0))
     lifted = np.column_stack([points, lift])
@@ -137,11 +147,10 @@ def _walk(k: int, factor: float):
                 asked = np.array(row["ids"], dtype=np.int64)
                 q = np.frombuffer(row["queries"], dtype=np.float64).reshape(len(asked), -1)
                 # a query's own row may be among the found ones
-                found = search(lifted, nodes, np.column_stack([q, np.zeros(len(q))]), k + 1, factor)
+                found, found_s = search(lifted, nodes, np.column_stack([q, np.zeros(len(q))]), k + 1, factor)
                 out = []
                 for i, own in enumerate(asked):
-                    rows = found[i][found[i] >= 0]
-                    score = (lifted[rows, :-1] * q[i]).sum(axis=1)
+                    rows, score = found[i][found[i] >= 0], found_s[i][found[i] >= 0]
                     ids = [owners[r] for r in rows]
                     scores = np.repeat(score, [len(x) for x in ids])
                     flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)

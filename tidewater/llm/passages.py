@@ -6,7 +6,7 @@ also start anywhere else, in the same document or another, is removed.
 Texts of equal words are one class: if there are two of them and they hold a
 window, nothing of them stays.  The others are handled in three steps.
 
-Confirm.  The shingle with the smallest hash inside a window is its anchor;
+Confirm.  The smallest shingle hash inside a window is its anchor;
 equal windows have equal anchors, and neighbouring windows mostly share one.
 Anchors that occur once rule out their windows.  The windows of the other
 anchors are counted by a 64-bit hash of all their words; those counted at least
@@ -47,16 +47,24 @@ SHARD_WINDOWS = 30_000
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
+def sliding_min(s: np.ndarray, width: int) -> np.ndarray:
+    """Least of every ``width`` neighbours, by doubling."""
+    n, span = len(s) - width + 1, 1
+    while 2 * span <= width:
+        s = np.minimum(s[: len(s) - span], s[span:])
+        span *= 2
+    return np.minimum(s[:n], s[width - span : width - span + n])
+
+
 def anchors(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, first window, windows) of each stretch of windows with one anchor."""
     n = len(h) - width + 1
     if n < 1:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none
-    s = mix(rolled(h, ANCHOR))
-    at = np.lib.stride_tricks.sliding_window_view(s, width - ANCHOR + 1).argmin(axis=1) + np.arange(n)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return s[at[first]].view(np.int64), first, np.diff(np.append(first, n))
+    least = sliding_min(mix(rolled(h, ANCHOR)), width - ANCHOR + 1)
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    return least[first].view(np.int64), first, np.diff(np.append(first, n))
 
 
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
@@ -136,12 +144,14 @@ def _phrases(width: int):
                     words = text.split()
                     h = hash_words(words, seen)
                     hit = np.isin(window_hashes(h, width).view(np.int64), wanted.values.to_numpy())
-                    for m, first, n in zip(*anchors(h, width), strict=True):
-                        own = np.flatnonzero(hit[first : first + n])
-                        for run_of in np.split(own, np.flatnonzero(np.diff(own) > 1) + 1) if len(own) else []:
-                            a, b = first + run_of[0], first + run_of[-1] + width
-                            found_m.append(int(m))
-                            found_t.append(b" ".join(words[a:b]))
+                    # runs of recurring windows, cut where the anchor changes
+                    m, first, n = anchors(h, width)
+                    of = np.repeat(np.arange(len(m)), n)
+                    at = np.flatnonzero(hit)
+                    cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(of[at]) > 0)) + 1 if len(at) else at
+                    begin, end = at[np.append([0], cut).astype(int)] if len(at) else at, at[np.append(cut - 1, -1).astype(int)] if len(at) else at
+                    found_m += m[of[begin]].tolist()
+                    found_t += [b" ".join(words[a : b + width]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found_m, pa.int64()), pa.array(found_t, pa.binary()).cast(pa.string())], names=["anchor", "phrase"]
                 )
@@ -156,11 +166,10 @@ def _stretches(width: int):
         for batch in batches:
             for part in pieces(batch, 128):
                 rows = []
-                for k, text in enumerate(raw(part.column(3))):
+                given = [part.column(c).to_pylist() for c in (0, 1, 2, 4, 5, 6)]
+                for text, i, w1, w2, ms, firsts, ns in zip(raw(part.column(3)), *given, strict=True):
                     words = text.split()
-                    key = [part.column(c)[k].as_py() for c in range(3)]
-                    for m, first, n in zip(*(part.column(c)[k].as_py() for c in (4, 5, 6)), strict=True):
-                        rows.append((*key, m, first, n, b" ".join(words[first : first + n + width - 1])))
+                    rows += [(i, w1, w2, m, a, n, b" ".join(words[a : a + n + width - 1])) for m, a, n in zip(ms, firsts, ns, strict=True)]
                 columns = list(zip(*rows, strict=True)) or [[]] * 7
                 kinds = [pa.int64()] * 4 + [pa.int32()] * 2
                 yield pa.RecordBatch.from_arrays(

@@ -43,6 +43,7 @@ from tidewater.session import settle, spread
 
 WIDTH = 35
 ANCHOR = 8
+PLACE_BITS = 24
 SHARD_WINDOWS = 30_000
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -62,9 +63,14 @@ def anchors(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     if n < 1:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none
-    least = sliding_min(mix(rolled(h, ANCHOR)), width - ANCHOR + 1)
+    s = mix(rolled(h, ANCHOR))
+    # the place rides in the low bits: of equal hashes the leftmost counts, and a
+    # shingle that comes again later in the text starts a stretch of its own
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    least = sliding_min((s & ~low) | (np.arange(len(s), dtype=np.uint64) & low), width - ANCHOR + 1)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return least[first].view(np.int64), first, np.diff(np.append(first, n))
+    at = first + (((least[first] & low).astype(np.int64) - first) & ((1 << PLACE_BITS) - 1))
+    return s[at].view(np.int64), first, np.diff(np.append(first, n))
 
 
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:

@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.components import components
+from tidewater.operators.relational import small
 from tidewater.session import settle
 
-PAIRS_A_ROW = 6
+PAIRS_A_ROW = 12
 ROUNDS = 6
 DRAWS = 1 << 20
 # Standard deviations that the agreement of two sketches may fall short of the
@@ -62,7 +63,14 @@ def by_jaccard(sketches: DataFrame, items: DataFrame, percent: int, k: int) -> C
         union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, k)
         agree = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
         likely = both.filter(agree >= F.lit(least_agreement(percent / 100, k)) * F.size(union)).select("a", "b").distinct()
-        full = likely.join(side(items, "a", "items"), "a").join(side(items, "b", "items"), "b")
+        likely = settle(likely, "likely")
+
+        def whole(name: str) -> DataFrame:
+            """Sets of the items of one side, so that no others are shuffled."""
+            ids = settle(likely.select(F.col(name).alias("id")).distinct(), "sides")
+            return side(items.join(small(ids), "id", "left_semi"), name, "items")
+
+        full = likely.join(whole("a"), "a").join(whole("b"), "b")
         common = F.size(F.array_intersect("items_a", "items_b"))
         total = F.size("items_a") + F.size("items_b") - common
         return full.filter(100 * common >= percent * total).select("a", "b").distinct()

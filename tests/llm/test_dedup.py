@@ -100,8 +100,14 @@ def test_forest_odd_rows(spark, leaf):
     rows += [(200, None, 1), (201, [0.0] * 8, 1), (202, [math.nan] * 8, 1), (203, [None] * 8, 1), (204, [math.inf] * 8, 1), (205, rows[0][1], None)]
     rows += [(206, rows[0][1], 2), (207, [1.0, 2.0], 1), (208, [], 1), (None, rows[0][1], 1), (209, [2 * x for x in rows[0][1]], 1), (210, [1e200] * 8, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = forest.near_vectors(df, leaf=leaf, trees=16)
-    assert sorted(map(tuple, got.collect()), key=repr) == vectors_by_hand(rows)
+    got = sorted(map(tuple, forest.near_vectors(df, leaf=leaf, trees=16).collect()), key=repr)
+    want = vectors_by_hand(rows)
+    if leaf == 512:
+        assert got == want
+    else:  # a cloud of many times a leaf's size: links may be missed, none is made up
+        assert [(g[0], g[2] is None) for g in got] == [(w[0], w[2] is None) for w in want]
+        assert all(g[1] <= w[1] and (w[2] is None or g[2] >= w[2]) for g, w in zip(got, want))
+        assert sum(g[1] for g in got) > 0.5 * sum(w[1] for w in want)
     assert forest.near_vectors(df.limit(0)).count() == 0
 
 

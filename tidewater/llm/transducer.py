@@ -147,6 +147,8 @@ class PieceTransducer:
                     cost = best[start][0] + self.weight(best[start][1], piece)
                     if cost < best[end][0]:
                         best[end] = (cost, piece)
+                        if not cost:  # no path is lighter
+                            break
         if best[n][0] == INFINITE:
             raise ValueError(f"no path for {part!r}")
         path, end = [], n

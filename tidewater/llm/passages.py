@@ -17,7 +17,8 @@ windows are cut by anchor into phrases, and the phrases of a shard of anchors
 become one automaton over words.
 
 Stream.  The stretches of all documents around the shard's anchors run through
-the automaton; every hit of all words marks them.  A shard of more
+the automaton, which finds halves of windows; a window equal in all words marks
+them.  A shard of more
 stretches than one task should hold is dealt over several tasks, each with the
 phrases it needs.
 
@@ -45,6 +46,8 @@ WIDTH = 35
 ANCHOR = 8
 PLACE_BITS = 24
 SHARD_WINDOWS = 30_000
+DIGITS, BASE = 2, 64  # symbols of a word
+UNKNOWN = "\0" * DIGITS
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -187,35 +190,53 @@ def _stretches(width: int):
 
 
 class PhraseAutomaton:
-    """Aho-Corasick over words: a word is one symbol, a key is one window."""
+    """Aho-Corasick over words.
+
+    A word is two symbols, a number to base BASE with an alphabet for each digit:
+    the automaton looks through a node's arcs one by one, so nodes must not have
+    an arc for every word.  The keys are half as long as a window and lie
+    end to end along a phrase, so every window of the phrase holds one whole.
+    Where a key is found, the windows around it are looked up by all their words.
+    """
 
     def __init__(self, phrases: list[bytes], width: int) -> None:
         self.width = width
+        self.half = (width + 1) // 2
         self.symbols: dict[bytes, str] = {}
-        self.machine = ahocorasick.Automaton()
+        self.windows: set[str] = set()
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        long, step = width * DIGITS, self.half * DIGITS
         for phrase in phrases:
             body = "".join(map(self._symbol, phrase.split(b" ")))
-            for k in range(len(body) - width + 1):
-                self.machine.add_word(body[k : k + width], 1)
+            self.windows.update([body[k : k + long] for k in range(0, len(body) - long + 1, DIGITS)])
+            for k in range(0, len(body) - step + 1, step):
+                self.machine.add_word(body[k : k + step])
         self.machine.make_automaton()
 
     def _symbol(self, word: bytes) -> str:
         found = self.symbols.get(word)
         if found is None:
-            code = 2 + len(self.symbols)
-            found = self.symbols[word] = chr(code if code < 0xD800 else code + 0x800)
+            high, low = divmod(len(self.symbols), BASE)
+            high += 1 + BASE
+            found = self.symbols[word] = chr(1 + low) + chr(high if high < 0xD800 else high + 0x800)
         return found
 
     def ranges(self, words: bytes) -> list[tuple[int, int]]:
-        """Ranges of words that hits cover, merged."""
-        body = "".join([self.symbols.get(w, "\x01") for w in words.split(b" ")])
+        """Ranges of words that recurring windows cover, merged."""
+        known, none = self.symbols.get, UNKNOWN
+        body = "".join([known(w, none) for w in words.split(b" ")])
         out: list[list[int]] = []
+        tried, long = 0, self.width * DIGITS  # windows before tried have been looked up
+        last = len(body) // DIGITS - self.width
         for end, _ in self.machine.iter(body) if len(self.machine) else ():
-            lo, hi = end - self.width + 1, end + 1
-            if out and lo <= out[-1][1]:
-                out[-1][1] = hi
-            else:
-                out.append([lo, hi])
+            first = (end + 1) // DIGITS - self.half
+            for lo in range(max(tried, first + self.half - self.width), min(first, last) + 1):
+                if body[lo * DIGITS : lo * DIGITS + long] in self.windows:
+                    if out and lo <= out[-1][1]:
+                        out[-1][1] = lo + self.width
+                    else:
+                        out.append([lo, lo + self.width])
+            tried = first + 1
         return out
 
 
@@ -280,13 +301,14 @@ def strip_repeats(
     listed = settle(
         listed.select("id", "w1", "w2", "times", *[F.col(f"s.{c}").alias(c) for c in ("anchor", "first", "windows")]), "listed"
     )
-    # texts once more, only of those documents; equal ids are told apart by their words
+    # texts once more, only of those documents; a class of equal words has one row
     ids = settle(listed.select("id").distinct(), "ids")
-    told = F.col("id").eqNullSafe(F.col("l_id")) & (F.col("w1") == F.col("l_w1")) & (F.col("w2") == F.col("l_w2"))
-    named = listed.select(*[F.col(c).alias(f"l_{c}") for c in ("id", "w1", "w2")], "times", "anchor", "first", "windows")
+    named = listed.select("w1", "w2", F.col("id").alias("l_id"), "times", "anchor", "first", "windows")
     wanted = texts.join(small(ids.withColumnRenamed("id", "_id")), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    tagged = wanted.mapInArrow(_tagged, "id bigint, w1 bigint, w2 bigint, text string").dropDuplicates(["id", "w1", "w2"])
-    bodies = settle(tagged.join(named, told).drop("l_id", "l_w1", "l_w2"), "bodies")
+    tagged = wanted.mapInArrow(_tagged, "id bigint, w1 bigint, w2 bigint, text string").join(named, ["w1", "w2"])
+    tagged = tagged.filter(F.col("id").eqNullSafe(F.col("l_id"))).drop("l_id").dropDuplicates(["w1", "w2"])
+    bodies = settle(tagged.select("id", "w1", "w2", "text", "times", "anchor", "first", "windows"), "bodies")
+    told = F.col("id").eqNullSafe(F.col("l_id")) & (F.col("w1") == F.col("l_w1")) & (F.col("w2") == F.col("l_w2"))
     windows = bodies.select("id", "text", "times", "first", "windows").mapInArrow(_windows(width), "w bigint, id bigint, times bigint")
     recurring = windows.groupBy("w").agg(F.sum("times").alias("n"), F.min("id").alias("witness")).filter("n > 1")
     recurring = settle(recurring.groupBy("witness").agg(F.collect_list("w").alias("ws")), "recurring")

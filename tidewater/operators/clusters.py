@@ -21,10 +21,14 @@ def as_features(df: DataFrame, array_col: str, name: str = "features") -> DataFr
 def kmeans_best(df: DataFrame, k: int, starts: int = 1, iterations: int = 100, seed: int = 1):
     """Fit from several seeds and keep the model of least cost."""
     best = None
+    own = starts > 1 and not df.is_cached
+    rows = df.persist() if own else df
     for s in range(starts):
-        model = KMeans(k=k, maxIter=iterations, seed=seed + s).fit(df)
+        model = KMeans(k=k, maxIter=iterations, seed=seed + s).fit(rows)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
+    if own:
+        rows.unpersist()
     return best
 
 

@@ -107,23 +107,11 @@ def regression(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     )
 
 
-MATCH_CELLS = 100_000
+def _matched_rows(conf: DataFrame) -> int:
+    """Rows in the matched cells, taking cells by falling count.
 
-
-def _match_here(cells: list[tuple]) -> int:
-    """Rows in the matched cells, taking cells by falling count."""
-    used_a, used_b, matched = set(), set(), 0
-    for n, a, b in sorted((-n, a, b) for a, b, n in cells):
-        if a not in used_a and b not in used_b:
-            used_a.add(a)
-            used_b.add(b)
-            matched -= n
-    return matched
-
-
-def _match_spread(conf: DataFrame) -> int:
-    """The same matching by rounds: a cell that leads both its label and its
-    cluster is what the greedy order would take, so all such cells go at once."""
+    A cell that leads both its label and its cluster is what that order would
+    take, so all such cells go at once."""
     left, matched = settle(conf, "cells"), 0
     while True:
         rank = F.struct(-F.col("n"), F.col("label"), F.col("predicted"))
@@ -139,17 +127,14 @@ def _match_spread(conf: DataFrame) -> int:
         left = settle(rest, "cells")
 
 
-def cluster_match(df: DataFrame, label: str, cluster: str, cells_here: int = MATCH_CELLS) -> DataFrame:
+def cluster_match(df: DataFrame, label: str, cluster: str) -> DataFrame:
     """Raw id agreement, and agreement under a greedy one-to-one matching that
     takes (label, cluster) cells by falling count.
-
-    A table of few cells is matched on the driver, a larger one in rounds.
     """
     conf = settle(confusion(df, label, cluster), "confusion")
     same = F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0))
-    cells, total, raw = conf.agg(F.count("*"), F.sum("n"), same).first()
-    few = cells <= cells_here
-    matched = _match_here([tuple(r) for r in conf.collect()]) if few else _match_spread(conf)
+    total, raw = conf.agg(F.sum("n"), same).first()
+    matched = _matched_rows(conf)
     row = (total or 0, raw / total if total else None, matched / total if total else None)
     return df.sparkSession.createDataFrame([row], "n bigint, raw_agreement double, matched_agreement double")
 

@@ -76,13 +76,14 @@ def knn_errors(spark, d):
     )
 
 
+GRID = 25
 FOLD_SQL = "floor({} * 5 / 4294967296.0)"
 
 
 @query(
     "cv_knn_grid",
-    f"""WITH {knn_sql(9, f"AND {FOLD_SQL.format(hash_sql('q.vec_id', 9))} <> {FOLD_SQL.format(hash_sql('b.vec_id', 9))}")},
-       g AS (SELECT unnest(range(1, 10))::INTEGER AS k),
+    f"""WITH {knn_sql(GRID, f"AND {FOLD_SQL.format(hash_sql('q.vec_id', 9))} <> {FOLD_SQL.format(hash_sql('b.vec_id', 9))}")},
+       g AS (SELECT unnest(range(1, {GRID + 1}))::INTEGER AS k),
        t AS (SELECT q_id, q_label, k, b_label, count(*) AS n, round(sum(dist), 9) AS far FROM h JOIN g ON rank <= k GROUP BY 1, 2, 3, 4),
        w AS (SELECT *, row_number() OVER (PARTITION BY q_id, k ORDER BY n DESC, far, b_label) AS r FROM t)
        SELECT k, round(avg((b_label = q_label)::INTEGER), 6) AS accuracy, count(*) AS n FROM w WHERE r = 1 GROUP BY 1""",
@@ -91,9 +92,9 @@ def cv_knn_grid(spark, d):
     e = embeddings(spark, d).withColumn("fold", fold_of(F.col("vec_id"), 9, 5))
     hits = None
     for fold in range(5):
-        found = N.knn(e.filter(F.col("fold") != fold), e.filter(F.col("fold") == fold), 9, "vec_id", "embedding")
+        found = N.knn(e.filter(F.col("fold") != fold), e.filter(F.col("fold") == fold), GRID, "vec_id", "embedding")
         hits = found if hits is None else hits.unionByName(found)
-    said = N.vote_grid(hits, e, "vec_id", "label", 9)
+    said = N.vote_grid(hits, e, "vec_id", "label", GRID)
     truth = e.select(F.col("vec_id").alias("q_id"), "label")
     hit = (F.col("predicted") == F.col("label")).cast("int")
     return said.join(truth, "q_id").groupBy("k").agg(F.round(F.avg(hit), 6).alias("accuracy"), F.count("*").alias("n"))
@@ -155,7 +156,7 @@ def features(spark, d):
 @query("kmeans")
 def kmeans(spark, d):
     f = features(spark, d)
-    model = C.kmeans_best(f, 8, starts=3, iterations=100)
+    model = C.kmeans_best(f, 8, starts=25, iterations=100)
     return model.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
 
 
@@ -193,19 +194,19 @@ def elbow_wss(spark, d):
     return C.elbow(features(spark, d), [2, 4, 8, 16])
 
 
-def plane(spark, d):
-    """The unlabelled set: the first two coordinates of every row."""
-    return embeddings(spark, d).select("vec_id", F.slice("embedding", 1, 2).cast("array<double>").alias("xy"))
+def vectors(spark, d):
+    """The unlabelled set."""
+    return embeddings(spark, d).select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
 
 
 @query("gap_stat")
 def gap_stat(spark, d):
-    return C.gap_statistic(plane(spark, d), "xy", [1, 2, 3, 4], sets=3, iterations=20)
+    return C.gap_statistic(vectors(spark, d), "vec", [1, 2, 3, 4], sets=3, iterations=20)
 
 
 @query("cluster_indices")
 def cluster_indices(spark, d):
-    return C.cluster_indices(plane(spark, d), "xy", [2, 3, 4, 5])
+    return C.cluster_indices(vectors(spark, d), "vec", range(2, 11))
 
 
 def solid(spark, d):

@@ -197,3 +197,17 @@ def test_lines_run_no_python(odd):
 
 def test_sketches_empty(none):
     assert sketches.near_duplicates(none).count() == 0
+
+
+@pytest.mark.parametrize(("width", "words"), [(16, 2), (17, 3), (35, 200), (36, 2)])
+def test_phrase_automaton_is_brute_force(width, words):
+    draw = np.random.default_rng(width)
+    tongue = [f"w{k}".encode() for k in range(words)]
+    phrases = [b" ".join(draw.choice(tongue, width + int(draw.integers(0, 40)))) for _ in range(12)]
+    known = {tuple(w[k : k + width]) for w in (p.split() for p in phrases) for k in range(len(w) - width + 1)}
+    machine = passages.PhraseAutomaton(phrases, width)
+    for at in range(200):
+        cut = phrases[at % 12].split()[at % 7 :]
+        text = [*draw.choice(tongue, at % 5), *cut, *([b"new"] if at % 2 else []), *draw.choice(tongue, 3), *phrases[at % 5].split()]
+        marked = {x for k in range(len(text) - width + 1) if tuple(text[k : k + width]) in known for x in range(k, k + width)}
+        assert {x for lo, hi in machine.ranges(b" ".join(text)) for x in range(lo, hi)} == marked

@@ -111,6 +111,25 @@ def test_forest_odd_rows(spark, leaf):
     assert forest.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mutual", [0.975, 0.95])
+def test_forest_finds_links_of_a_large_cloud(spark, mutual):
+    """Distinct near copies, many leaves of them, beside others of their label."""
+    draw = np.random.default_rng(11)
+    centre = draw.standard_normal(64)
+    noise = draw.standard_normal((5000, 64)) * np.linalg.norm(centre) / 8 * math.sqrt(1 / mutual - 1)
+    v = np.concatenate([centre + noise, draw.standard_normal((5000, 64))])
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    df = spark.createDataFrame([(k, x.tolist(), 1) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in forest.near_vectors(df).collect()}
+    n_links = np.array([got[k].n_links for k in range(len(v))])
+    assert want.sum() > 20_000_000 and (n_links <= want).all()
+    assert n_links.sum() >= 0.9 * want.sum()
+    assert {got[int(k)].component_id for k in np.flatnonzero(want[:5000])} == {int(np.flatnonzero(want)[0])}
+
+
 def cut_by_hand(rows, width=35):
     words = [(t.encode().split() if t else []) for _, t in rows]
     count = Counter(tuple(w[k : k + width]) for w in words for k in range(len(w) - width + 1))

@@ -64,6 +64,18 @@ def test_sketches_pivots(spark):
     assert sorted(map(tuple, got), key=repr) == near_by_hand(rows)
 
 
+@pytest.mark.parametrize(("small", "large"), [(95, 126), (93, 124), (95, 120), (90, 120), (73, 97)])
+def test_sketches_of_a_small_and_a_larger_set(spark, small, large):
+    """Sets that fit a sketch beside partners that do not; nobody else shares their values."""
+    rows = []
+    for k in range(60):
+        words = [f"p{k}_{x}" for x in range(large + 4)]
+        rows += [(2 * k, " ".join(words[: small + 4])), (2 * k + 1, " ".join(words))]
+    got = sketches.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(2 * k + x, (small, large)[x], 2 * k, x == 0) for k in range(60) for x in (0, 1)]
+    assert sorted(map(tuple, got)) == want
+
+
 def vectors_by_hand(rows, least=0.93):
     ok = [i is not None and v is not None and l is not None and all(x is not None and math.isfinite(x) for x in v) and any(v) for i, v, l in rows]
     groups, links = Sets([k for k in range(len(rows))]), Counter()

@@ -14,6 +14,7 @@ and linked with nothing; its component is null.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import WordHashes, hash_words, lists, mix, pieces, raw, rolled
-from tidewater.llm.linking import by_jaccard, confirmed_components, least_agreement
+from tidewater.llm.linking import SLACK, by_jaccard, confirmed_components, least_agreement
 from tidewater.operators.relational import small
 from tidewater.session import settle, spread
 
@@ -74,6 +75,23 @@ def _sets(width: int):
     return run
 
 
+def least_common(s: int, share: float, k: int) -> int:
+    """Values that a sketch of s has in common with that of any set of resemblance ``share``.
+
+    A set of s < k is its own sketch, but the other may have more than k and keep
+    its k smallest only: of t shared ones as many as chance puts among those k.
+    """
+    if s >= k:
+        return math.ceil(s * least_agreement(share, k) - 1e-9)
+    least = math.ceil(s * share - 1e-9)
+    for n in range(k + 1, math.floor(s / share + 1e-9) + 1):
+        t = min(s, math.ceil(share * (s + n) / (1 + share) - 1e-9))
+        p = t / n
+        bound = math.floor(k * p - SLACK * (k * p * (1 - p) * (n - k) / (n - 1)) ** 0.5)
+        least = min(least, max(bound, t - (n - k)))
+    return least
+
+
 def overlap_lists(sketches: DataFrame, share: float, k: int, need: int = NEED) -> DataFrame:
     """(key, id, need): the rarest sketch values, each with the documents that keep it.
 
@@ -84,8 +102,8 @@ def overlap_lists(sketches: DataFrame, share: float, k: int, need: int = NEED) -
     rows = sketches.select("id", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
     often = rows.groupBy("v").agg(F.count("*").alias("f")).filter("f > 1")
     own = rows.join(often, "v").groupBy("id", "s").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("vs"))
-    common = F.ceil(F.col("s") * F.when(F.col("s") < k, share).otherwise(least_agreement(share, k)) - 1e-9)
-    own = own.withColumn("common", common.cast("int")).withColumn("need", F.least(F.lit(need), "common"))
+    common = F.get(F.array(*[F.lit(least_common(s, share, k)) for s in range(k + 1)]), F.col("s"))
+    own = own.withColumn("common", common).withColumn("need", F.least(F.lit(need), "common"))
     first = own.withColumn("room", F.size("vs") - F.col("common") + F.col("need")).filter("room > 0")
     return first.select("id", "need", F.explode(F.slice("vs", F.lit(1), F.col("room"))).alias("x")).select(
         F.col("x.v").alias("key"), "id", "need"

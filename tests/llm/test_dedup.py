@@ -221,6 +221,31 @@ def test_lines_odd_rows(spark, clashing, none):
     assert lines.dedup_lines(none).count() == 0
 
 
+def line_pairs(make, n, seed=5):
+    """(documents of one line each, the same as pairs) of ``n`` pairs from ``make(draw)``."""
+    draw = np.random.default_rng(seed)
+    pairs = [make(draw) for _ in range(n)]
+    return [(2 * k + x, pair[x]) for k, pair in enumerate(pairs) for x in (0, 1)]
+
+
+def letters(draw, n):
+    return "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+
+@pytest.mark.parametrize("size", [12, 30])
+def test_lines_of_long_words(spark, size):
+    """Nine long words, of which the fourth and the eighth have a letter changed: no run of four stays."""
+
+    def make(draw):
+        words = [letters(draw, size) for _ in range(9)]
+        other = [w[: size // 2] + "#" + w[size // 2 + 1 :] if k in (3, 7) else w for k, w in enumerate(words)]
+        return " ".join(words), " ".join(other)
+
+    rows = line_pairs(make, 200)
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0]
+    assert got >= 0.97 * 200
+
+
 def test_lines_run_no_python(odd):
     plan = lines.dedup_lines(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -246,6 +246,22 @@ def test_lines_of_long_words(spark, size):
     assert got >= 0.97 * 200
 
 
+@pytest.mark.parametrize(("common", "own"), [(21, 3), (30, 5), (49, 8), (84, 13), (90, 15), (110, 18)])
+def test_lines_of_few_shingles(spark, common, own):
+    """Lines with a part in common and an end each of their own, on either side of the limits."""
+
+    def make(draw):
+        base = letters(draw, common + lines.WIDTH - 1)
+        return base + letters(draw, own), base + letters(draw, own)
+
+    rows = line_pairs(make, 1500)
+    sets = [{x[k : k + lines.WIDTH] for k in range(len(x) - lines.WIDTH + 1)} for _, x in rows]
+    true = sum(100 * len(a & b) >= 75 * len(a | b) for a, b in zip(sets[::2], sets[1::2]))
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0]
+    assert 0.98 * true <= got <= true
+    assert true > 1400
+
+
 def test_lines_run_no_python(odd):
     plan = lines.dedup_lines(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -334,3 +334,13 @@ def test_cluster_match_in_rounds(spark):
             clusters.add(c)
             matched += n
     assert tuple(got) == (400, pytest.approx(sum(y == c for y, c in rows) / 400), pytest.approx(matched / 400))
+
+
+def test_rules_go_on_until_they_are_no_better_than_even(spark):
+    """Ten values tell the target, so ten rules are needed."""
+    from tidewater.operators import rules as L
+
+    rows = [(k, f"v{k % 20:02}", int(k % 20 < 10)) for k in range(1200)]
+    df = spark.createDataFrame(rows, "id long, g string, label int")
+    found = L.learn_rules(df, "label", 1, L.value_candidates({"g": [f"v{k:02}" for k in range(20)]}), "id")
+    assert sorted(found) == [[("g", "=", f"v{k:02}")] for k in range(10)]

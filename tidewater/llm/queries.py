@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import forest, language, lines, mixing, passages, sketches, token_files, toxicity, transducer, vantage
+from tidewater.llm import audit, forest, language, lines, mixing, passages, sketches, token_counts, token_files, toxicity, transducer, vantage
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -18,6 +18,7 @@ PLANS: dict[str, Plan] = {}
 TWINS: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -89,3 +90,17 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "source"
     )
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_counts.count_tokens(docs, WORD_BPE).drop("text")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+TWINS["op12_filter_audit"] = audit.AUDIT_SQL

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import audit, forest, language, lines, mixing, passages, sketches, token_counts, token_files, toxicity, transducer, vantage
+from tidewater.llm import audit, dialogue, forest, language, lines, mixing, passages, sketches, token_counts, token_files, toxicity, transducer, vantage
 from tidewater.llm.common import held_out
 from tidewater.session import spread, table
 
@@ -104,3 +104,9 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TWINS["op12_filter_audit"] = audit.AUDIT_SQL
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return dialogue.repair_report(rows, dialogue.damaged(rows, "conv_id", "turn", "role", "text"))

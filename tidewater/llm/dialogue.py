@@ -518,3 +518,70 @@ def repair_report(
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+# Damage, faults and repair in SQL: the checksum bit by bit, the program row after row over four states.
+REPAIR_SQL = r"""
+WITH RECURSIVE
+dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295], flatten(list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+             lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) % 20 AS deal
+  FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN deal = 4 THEN 'user' ELSE role END AS role,
+         CASE deal WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN deal = 3 THEN [0, 1] ELSE [0] END) AS nth
+  FROM dealt WHERE deal <> 0),
+placed AS (
+  SELECT conv_id, turn, role, text, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || chr(0) || role || chr(0) || text), nth) AS i
+  FROM hurt),
+faulty AS (
+  SELECT conv_id, turn, role, text, i, role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS previous,
+         CASE WHEN body = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN body[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+moves(p, q, price, letters, added) AS (
+  VALUES ('', '', 0, '', []::VARCHAR[]), ('', 'u', 5, 'I', ['user:']), ('', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('s', 's', 0, '', []), ('s', 'u', 5, 'I', ['user:']), ('s', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('u', 'u', 0, '', []), ('u', 'a', 5, 'I', ['assistant:']), ('a', 'a', 0, '', []), ('a', 'u', 5, 'I', ['user:'])),
+opens(p, q, role) AS (
+  VALUES ('', 's', NULL), ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+edits AS (
+  SELECT conv_id, i, '' AS p, '' AS q, 2 AS price, 'D' AS letter, []::VARCHAR[] AS kept, true AS stays FROM faulty
+  UNION ALL
+  SELECT conv_id, i, p, q, 5 * (fault = 'truncated')::INT, 'K', [faulty.role || ':' || text], false
+  FROM faulty JOIN opens ON initial = q WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, p, q, 1 + 5 * (fault = 'truncated')::INT, 'R', [opens.role || ':' || text], false
+  FROM faulty JOIN opens ON opens.role IS NOT NULL WHERE fault NOT IN ('blank', 'duplicate')),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS q, {'price': 0, 'audit': '', 'kept': []::VARCHAR[]} AS best FROM conversations
+  UNION ALL
+  SELECT conv_id, i, q, min(best) AS best
+  FROM (
+    SELECT walk.conv_id, edits.i, CASE WHEN stays THEN moves.q ELSE edits.q END AS q,
+           {'price': best.price + moves.price + edits.price, 'audit': best.audit || letters || letter,
+            'kept': list_concat(list_concat(best.kept, added), edits.kept)} AS best
+    FROM walk JOIN moves ON moves.p = walk.q
+    JOIN edits ON edits.conv_id IS NOT DISTINCT FROM walk.conv_id AND edits.i = walk.i + 1 AND (stays OR edits.p = moves.q))
+  GROUP BY conv_id, i, q),
+ends AS (
+  SELECT conv_id, min({'price': best.price + price, 'audit': best.audit || letters, 'kept': list_concat(best.kept, added)}) AS best
+  FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS last_i FROM walk) w JOIN moves ON moves.p = w.q
+  WHERE i = last_i AND moves.q IN ('', 'a') GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.price::BIGINT AS cost, best.audit AS audit,
+       sha256(array_to_string(best.kept, chr(10))) AS repaired_sha256
+FROM ends LEFT JOIN counts ON ends.conv_id IS NOT DISTINCT FROM counts.conv_id
+"""

@@ -110,3 +110,6 @@ TWINS["op12_filter_audit"] = audit.AUDIT_SQL
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return dialogue.repair_report(rows, dialogue.damaged(rows, "conv_id", "turn", "role", "text"))
+
+
+TWINS["op13_conversation_repair"] = dialogue.REPAIR_SQL

@@ -7,29 +7,23 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.lloyd import Rounds, best, fit_many
+from tidewater.session import settle
+
+
 def as_features(df: DataFrame, array_col: str, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def kmeans_best(df: DataFrame, k: int, starts: int = 1, iterations: int = 100, seed: int = 1):
-    """Fit from several seeds and keep the model of least cost."""
-    best = None
-    own = starts > 1 and not df.is_cached
-    rows = df.persist() if own else df
-    for s in range(starts):
-        model = KMeans(k=k, maxIter=iterations, seed=seed + s).fit(rows)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    if own:
-        rows.unpersist()
-    return best
+def kmeans_best(df: DataFrame, vec: str, k: int, starts: int = 25, iterations: int = 100, seed: int = 1) -> np.ndarray:
+    """Centres of the best of several starts, all of them fitted in the same scans."""
+    return best(fit_many(df, vec, [k], starts, iterations, seed))[k].centres
 
 
 def nearest_centre(centres: np.ndarray, vec: Column) -> Column:
@@ -79,80 +73,27 @@ def sums_of_squares(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     )
 
 
-def elbow(df: DataFrame, ks: Sequence[int], starts: int = 1, seed: int = 1) -> DataFrame:
-    df = df.select("features").persist()
-    rows = [(k, float(kmeans_best(df, k, starts, seed=seed).summary.trainingCost)) for k in ks]
-    df.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, wss double")
+def elbow(df: DataFrame, vec: str, ks: Sequence[int], starts: int = 100, iterations: int = 1000, seed: int = 1) -> DataFrame:
+    """(k, wss): least within-cluster sum of squares over the starts, all models fitted together."""
+    found = best(fit_many(df, vec, ks, starts, iterations, seed))
+    return df.sparkSession.createDataFrame([(int(k), float(m.sse)) for k, m in sorted(found.items())], "k int, wss double")
 
 
 def gap_statistic(
-    df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, starts: int = 1, iterations: int = 100, seed: int = 1
+    df: DataFrame, vec: str, ks: Sequence[int], sets: int = 50, starts: int = 25, iterations: int = 100, seed: int = 1
 ) -> DataFrame:
     """Gap of log within-cluster cost to uniform rows in the bounding box
-    (Tibshirani et al. 2001).  Reference rows are made by seeded ``rand`` in the
-    tasks, as many as there are data rows."""
-    spark = df.sparkSession
-    dims = df.agg(F.max(F.size(vec))).first()[0]
-    box = df.agg(
-        *[F.min(F.get(vec, F.lit(i))).alias(f"lo{i}") for i in range(dims)],
-        *[F.max(F.get(vec, F.lit(i))).alias(f"hi{i}") for i in range(dims)],
-    ).first()
-    n = df.count()
-    slices = max(1, n // 100_000)
-
-    def costs(frame: DataFrame) -> list[float]:
-        feats = as_features(frame, vec).persist()
-        out = []
-        for k in ks:
-            # one cluster has nothing to fit: its cost is the total sum of squares
-            whole = sums_of_squares(feats.withColumn("_one", F.lit(0)), vec, "_one").first()["tss"] if k == 1 else None
-            out.append(math.log(whole if k == 1 else kmeans_best(feats, k, starts, iterations, seed).summary.trainingCost))
-        feats.unpersist()
-        return out
-
-    own, refs = costs(df.select(vec)), []
-    for b in range(sets):
-        cols = [
-            F.lit(float(box[f"lo{i}"])) + F.rand(seed * 7919 + b * dims + i) * F.lit(float(box[f"hi{i}"]) - float(box[f"lo{i}"]))
-            for i in range(dims)
-        ]
-        refs.append(costs(spark.range(0, n, 1, slices).select(F.array(*cols).alias(vec))))
-    ref = np.asarray(refs)
+    (Tibshirani et al. 2001).  Reference sets have as many rows as the table;
+    their models and the table's are fitted in the same rounds."""
+    models = fit_many(df, vec, ks, starts, iterations, seed, sets)
+    logs = np.array([[math.log(m.sse) if m.sse > 0 else -math.inf for _, m in sorted(best(models, space).items())] for space in range(sets + 1)])
+    schema = "k int, log_w double, ref_log_w double, gap double, s_k double"
+    if not models:
+        return df.sparkSession.createDataFrame([], schema)
+    own, ref = logs[0], logs[1:]
     spread = ref.std(axis=0) * math.sqrt(1 + 1 / sets)
-    rows = [(int(k), float(o), float(m), float(m - o), float(s)) for k, o, m, s in zip(ks, own, ref.mean(axis=0), spread)]
-    return spark.createDataFrame(rows, "k int, log_w double, ref_log_w double, gap double, s_k double")
-
-
-def cluster_indices(df: DataFrame, vec: str, ks: Sequence[int], seed: int = 1) -> DataFrame:
-    """Silhouette, Calinski-Harabasz and Davies-Bouldin per k, with the votes."""
-    feats = as_features(df, vec).persist()
-    n, rows = feats.count(), []
-    for k in ks:
-        model = kmeans_best(feats, k, seed=seed)
-        placed = model.transform(feats)
-        sil = ClusteringEvaluator().evaluate(placed)
-        s = sums_of_squares(placed, vec, "prediction").first()
-        ch = (s["bss"] / (k - 1)) / (s["wss"] / (n - k))
-        centres = np.asarray(model.clusterCenters())
-        spread = {
-            r["prediction"]: r["d"]
-            for r in placed.withColumn("_near", nearest_centre(centres, F.col(vec)))
-            .groupBy("prediction")
-            .agg(F.avg(F.sqrt("_near.sq_dist")).alias("d"))
-            .collect()
-        }
-        worst = []
-        for i in spread:
-            gaps = [(spread[i] + spread[j]) / np.linalg.norm(centres[i] - centres[j]) for j in spread if j != i]
-            worst.append(max(gaps))
-        rows.append((int(k), float(sil), float(ch), float(np.mean(worst))))
-    feats.unpersist()
-    best = [max(rows, key=lambda r: r[1])[0], max(rows, key=lambda r: r[2])[0], min(rows, key=lambda r: r[3])[0]]
-    out = [(*r, best.count(r[0])) for r in rows]
-    return df.sparkSession.createDataFrame(
-        out, "k int, silhouette double, calinski_harabasz double, davies_bouldin double, votes int"
-    )
+    rows = [(int(k), float(o), float(m), float(m - o), float(s)) for k, o, m, s in zip(sorted(set(ks)), own, ref.mean(axis=0), spread)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 # ------------------------------------------------------------- hierarchical
@@ -186,7 +127,40 @@ def fourier_features(vec: Column, dims: int, n_features: int, gamma: float, seed
     return lift(vec.cast("array<double>"))
 
 
-def kernel_kmeans(df: DataFrame, vec: str, dims: int, k: int, gamma: float, n_features: int = 100, seed: int = 1) -> DataFrame:
-    lifted = as_features(df.withColumn("_z", fourier_features(F.col(vec), dims, n_features, gamma, seed)), "_z")
-    model = kmeans_best(lifted, k, seed=seed)
-    return model.transform(lifted).drop("_z", "features").withColumnRenamed("prediction", "cluster")
+def landmark_features(df: DataFrame, vec: str, gamma: float, landmarks: int = 500, seed: int = 1) -> DataFrame:
+    """The rows with ``z``, coordinates whose inner products approach the RBF
+    kernel (Nystroem), and ``missed``, the part of the row's own kernel value
+    that they leave out: 0 where they are exact.
+
+    Landmarks are distinct rows by seeded hash; only their small kernel matrix
+    is decomposed, on the driver, at a size that is a parameter.
+    """
+    data = Rounds(df, vec, seed=seed)
+    marks = data.first_centres(0, landmarks, 1)[0]
+    far = (marks * marks).sum(1)[:, None] + (marks * marks).sum(1)[None, :] - 2 * marks @ marks.T
+    values, turn = np.linalg.eigh(np.exp(-gamma * np.maximum(far, 0)))
+    sound = values > 1e-10 * values.max(initial=0)
+    lift = turn[:, sound] / np.sqrt(values[sound])
+
+    @F.pandas_udf(T.StructType().add("z", T.ArrayType(T.DoubleType())).add("missed", T.DoubleType()))
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows) == 0:
+                yield pd.DataFrame({"z": pd.Series(dtype=object), "missed": pd.Series(dtype="float64")})
+                continue
+            x = np.asarray(rows.tolist(), dtype=float)
+            near = np.exp(-gamma * np.maximum((x * x).sum(1)[:, None] + (marks * marks).sum(1)[None, :] - 2 * x @ marks.T, 0))
+            z = near @ lift
+            yield pd.DataFrame({"z": list(z), "missed": 1.0 - (z * z).sum(1)})
+
+    sized = df.filter((F.size(vec) == data.width) & ~F.exists(vec, lambda v: v.isNull()))
+    return sized.withColumn("_f", features(F.col(vec).cast("array<double>"))).select(*df.columns, "_f.z", "_f.missed")
+
+
+def kernel_kmeans(
+    df: DataFrame, vec: str, k: int, gamma: float, landmarks: int = 500, starts: int = 25, iterations: int = 100, seed: int = 1
+) -> DataFrame:
+    """The rows with ``cluster`` from k-means in the RBF kernel's space, over whole vectors, and ``missed``."""
+    lifted = settle(landmark_features(df, vec, gamma, landmarks, seed), "lifted")
+    centres = kmeans_best(lifted, "z", k, starts, iterations, seed)
+    return lifted.withColumn("cluster", nearest_centre(centres, F.col("z"))["cluster"]).drop("z")

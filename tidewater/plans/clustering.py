@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import clusters as C
 from tidewater.operators import density as D
+from tidewater.operators import indices as I
 from tidewater.operators import metrics as M
 from tidewater.operators import neighbors as N
 from tidewater.operators.sampling import fold_of
@@ -155,9 +156,9 @@ def features(spark, d):
 
 @query("kmeans")
 def kmeans(spark, d):
-    f = features(spark, d)
-    model = C.kmeans_best(f, 8, starts=25, iterations=100)
-    return model.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
+    rows = embeddings(spark, d)
+    centres = C.kmeans_best(rows, "embedding", 8, starts=25, iterations=100)
+    return rows.select("vec_id", "label", C.nearest_centre(centres, F.col("embedding"))["cluster"].alias("cluster"))
 
 
 def label_centres(spark, d):
@@ -191,7 +192,7 @@ def bss_tss(spark, d):
 
 @query("elbow_wss")
 def elbow_wss(spark, d):
-    return C.elbow(features(spark, d), [2, 4, 8, 16])
+    return C.elbow(embeddings(spark, d), "embedding", range(10, 101, 10))
 
 
 def vectors(spark, d):
@@ -201,16 +202,12 @@ def vectors(spark, d):
 
 @query("gap_stat")
 def gap_stat(spark, d):
-    return C.gap_statistic(vectors(spark, d), "vec", [1, 2, 3, 4], sets=3, iterations=20)
+    return C.gap_statistic(vectors(spark, d), "vec", range(1, 11))
 
 
 @query("cluster_indices")
 def cluster_indices(spark, d):
-    return C.cluster_indices(vectors(spark, d), "vec", range(2, 11))
-
-
-def solid(spark, d):
-    return embeddings(spark, d).select("vec_id", "label", F.slice("embedding", 1, 3).cast("array<double>").alias("xyz"))
+    return I.cluster_indices(vectors(spark, d), "vec", range(2, 11))
 
 
 @query("bisecting_kmeans")
@@ -221,7 +218,8 @@ def bisecting_kmeans(spark, d):
 
 @query("kernel_kmeans")
 def kernel_kmeans(spark, d):
-    return C.kernel_kmeans(solid(spark, d), "xyz", 3, 5, gamma=10.0).select("vec_id", "label", "cluster")
+    rows = embeddings(spark, d)
+    return C.kernel_kmeans(rows, "embedding", 5, gamma=0.5).select("vec_id", "label", "cluster", F.round("missed", 6).alias("missed"))
 
 
 @query(

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from tidewater.operators import agglomerate as A
 from tidewater.operators import clusters as C
 from tidewater.operators import density as D
 from tidewater.operators import indices as I
@@ -210,6 +211,16 @@ def cluster_indices(spark, d):
     return I.cluster_indices(vectors(spark, d), "vec", range(2, 11))
 
 
+@query("hier_ward")
+def hier_ward(spark, d):
+    return A.agglomerative(embeddings(spark, d), "vec_id", "embedding", 8)
+
+
+@query("hier_centroid")
+def hier_centroid(spark, d):
+    return A.agglomerative(embeddings(spark, d), "vec_id", "embedding", 8, ward=False)
+
+
 @query("bisecting_kmeans")
 def bisecting_kmeans(spark, d):
     whole = embeddings(spark, d).select("vec_id", "embedding")

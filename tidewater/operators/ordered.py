@@ -77,26 +77,27 @@ def running_sum(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` over each key's rows up to and including this one."""
-    df = df.withColumn("_v", value)
+    return running_sums(df, keys, order, {name: value}, group_rows)
+
+
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Several running sums over the same order, by the names of ``values``."""
+    tmp = {name: f"_v{i}" for i, name in enumerate(values)}
+    df = df.withColumns({tmp[name]: value for name, value in values.items()})
     upto = (W.unboundedPreceding, W.currentRow)
     if largest_group(df, keys) <= group_rows:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
-        return df.withColumn(name, F.sum("_v").over(w)).drop("_v")
+        return df.withColumns({name: F.sum(v).over(w) for name, v in tmp.items()}).drop(*tmp.values())
     placed = _blocks(df, keys, order)
     inside = W.partitionBy("_blk", *keys).orderBy(*order).rowsBetween(*upto)
     earlier = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        placed.groupBy("_blk", *keys)
-        .agg(F.sum("_v").alias("_t"))
-        .withColumn("_carry", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
-        .drop("_t")
-    )
-    return (
-        placed.withColumn("_in", F.sum("_v").over(inside))
-        .join(carried, ["_blk", *keys])
-        .withColumn(name, F.col("_in") + F.col("_carry"))
-        .drop("_blk", "_in", "_carry", "_v")
-    )
+    totals = placed.groupBy("_blk", *keys).agg(*[F.sum(v).alias(f"_t{v}") for v in tmp.values()])
+    carried = totals.withColumns({f"_c{v}": F.coalesce(F.sum(f"_t{v}").over(earlier), F.lit(0)) for v in tmp.values()})
+    found = placed.withColumns({f"_in{v}": F.sum(v).over(inside) for v in tmp.values()}).join(carried, ["_blk", *keys])
+    found = found.withColumns({name: F.col(f"_in{v}") + F.col(f"_c{v}") for name, v in tmp.items()})
+    return found.drop("_blk", *[p + v for v in tmp.values() for p in ("", "_t", "_c", "_in")])
 
 
 def with_previous(

@@ -66,7 +66,7 @@ def entropy(parts: Sequence[Column]) -> Column:
     return bits(total) - sum((bits(c) for c in parts[1:]), bits(parts[0]))
 
 
-def _numbered(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[DataFrame, list]:
+def numbered(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[DataFrame, list]:
     counted = df.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(label).limit(MOST_CLASSES + 1).collect()
     classes = [r[0] for r in counted]
     if len(classes) > MOST_CLASSES:
@@ -82,6 +82,12 @@ def _sums(n_classes: int) -> list[Column]:
     return [F.sum(F.when(F.col("y") == k, F.col("w")).otherwise(0.0)).alias(f"c{k}") for k in range(n_classes)]
 
 
+def class_weights(rows: DataFrame, n_classes: int) -> dict[int, list[float]]:
+    """Weights of every node's rows by class."""
+    found = rows.groupBy("node").agg(*_sums(n_classes)).collect()
+    return {r.node: [r[f"c{k}"] for k in range(n_classes)] for r in found}
+
+
 def numeric_splits(rows: DataFrame, n_classes: int, least: float) -> DataFrame:
     """Best cut of every (node, attribute): its gain and split information over the known rows."""
     cs = [F.col(f"c{k}") for k in range(n_classes)]
@@ -160,12 +166,12 @@ def chosen(found: Sequence[tuple]) -> tuple | None:
 
 def grow(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], least: float = 2.0, max_depth: int | None = None) -> Tree:
     """The unpruned tree."""
-    rows, classes = _numbered(df, label, numeric, categorical)
+    rows, classes = numbered(df, label, numeric, categorical)
     tree = Tree(classes, list(numeric), list(categorical), {})
     used: dict[int, set] = {0: set()}
     rows, depth, born = settle(rows, "level"), 0, 1
     while classes:
-        weights = {r.node: [r[f"c{k}"] for k in range(len(classes))] for r in rows.groupBy("node").agg(*_sums(len(classes))).collect()}
+        weights = class_weights(rows, len(classes))
         for i, w in weights.items():
             if i in tree.nodes:
                 tree.nodes[i].weights = w

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from tidewater.operators import c45 as T
 from tidewater.operators import clusters as C
 from tidewater.operators import metrics as M
 from tidewater.operators import models as Q
@@ -145,6 +146,68 @@ def gain_ratio_split(spark, d):
     return g.select("feature", *[F.round(c, 6).alias(c) for c in ("gain", "split_info", "gain_ratio")])
 
 
+SPLIT_NUMERIC, SPLIT_KINDS = ["l_quantity", "ship_day"], ["l_linestatus", "l_linenumber"]
+
+
+@query(
+    "c45_splits",
+    """WITH r AS (SELECT l_returnflag AS y, l_quantity::DOUBLE AS l_quantity, (l_shipdate::DATE - DATE '1970-01-01')::DOUBLE AS ship_day,
+                      l_linestatus, l_linenumber::VARCHAR AS l_linenumber FROM lineitem),
+       n AS (SELECT count(*) AS n FROM r),
+       h AS (SELECT log2(sum(c)) - sum(c * log2(c)) / sum(c) AS h FROM (SELECT count(*) AS c FROM r GROUP BY y)),
+       x AS (SELECT 'l_quantity' AS attribute, l_quantity AS v, y FROM r UNION ALL SELECT 'ship_day', ship_day, y FROM r),
+       g AS (SELECT attribute, v, y, count(*) AS c FROM x GROUP BY 1, 2, 3),
+       d AS (SELECT DISTINCT attribute, v FROM g),
+       cl AS (SELECT DISTINCT y FROM r),
+       f AS (SELECT d.attribute, d.v, cl.y, coalesce(c, 0) AS c FROM d CROSS JOIN cl LEFT JOIN g ON g.attribute = d.attribute AND g.v = d.v AND g.y = cl.y),
+       s AS (SELECT attribute, v, y, sum(c) OVER (PARTITION BY attribute, y ORDER BY v) AS low, sum(c) OVER (PARTITION BY attribute, y) AS whole FROM f),
+       e AS (SELECT attribute, v, sum(low) AS n_low, sum(whole - low) AS n_high,
+                    sum(CASE WHEN low > 0 THEN low * log2(low) ELSE 0 END) AS b_low,
+                    sum(CASE WHEN whole > low THEN (whole - low) * log2(whole - low) ELSE 0 END) AS b_high,
+                    count(*) OVER (PARTITION BY attribute) AS n_values FROM s GROUP BY 1, 2),
+       q AS (SELECT attribute, v AS cut, n_low, n_high, n_values,
+                    h - ((n_low * log2(n_low) - b_low) + (n_high * log2(n_high) - b_high)) / (n_low + n_high) AS raw
+             FROM e, h WHERE n_low >= 2 AND n_high >= 2),
+       best AS (SELECT *, raw - log2(greatest(1, n_values - 1)) / (n_low + n_high) AS gain FROM q
+                QUALIFY row_number() OVER (PARTITION BY attribute ORDER BY round(raw, 9) DESC, cut) = 1),
+       nums AS (SELECT attribute, cut, gain, -(n_low / n.n * log2(n_low / n.n) + n_high / n.n * log2(n_high / n.n)) AS info FROM best, n),
+       k AS (SELECT 'l_linestatus' AS attribute, l_linestatus AS v, y FROM r UNION ALL SELECT 'l_linenumber', l_linenumber, y FROM r),
+       kc AS (SELECT attribute, v, y, count(*) AS c FROM k GROUP BY 1, 2, 3),
+       kv AS (SELECT attribute, v, sum(c) AS size, sum(c) * log2(sum(c)) - sum(c * log2(c)) AS b FROM kc GROUP BY 1, 2),
+       kinds AS (SELECT attribute, NULL::DOUBLE AS cut, max(h) - sum(b) / max(n.n) AS gain, -sum(size / n.n * log2(size / n.n)) AS info FROM kv, h, n GROUP BY 1)
+       SELECT attribute, cut, round(gain, 6) AS gain, round(gain / info, 6) AS gain_ratio
+       FROM (SELECT * FROM nums UNION ALL SELECT * FROM kinds) WHERE gain > 1e-9 AND info > 1e-9""",
+)
+def c45_splits(spark, d):
+    """What every attribute would gain at the root of a tree."""
+    lines = table(spark, d, "lineitem").select("l_returnflag", F.col("l_quantity"), F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01")).alias("ship_day"), *SPLIT_KINDS)
+    rows, classes = T.numbered(lines, "l_returnflag", SPLIT_NUMERIC, SPLIT_KINDS)
+    weights = {0: T.class_weights(rows, len(classes))[0]}
+    found = T.candidates(rows, weights, SPLIT_NUMERIC, SPLIT_KINDS, {0: set()}, least=2.0)[0]
+    out = [(attribute, cut, round(gain, 6), round(ratio, 6)) for gain, ratio, attribute, cut, _ in found]
+    return spark.createDataFrame(out, "attribute string, cut double, gain double, gain_ratio double")
+
+
+def labelled_texts(spark, d):
+    """Numbers and kinds of every labelled text."""
+    kinds = table(spark, d, "documents").select("doc_id", "lang", "source")
+    return text_stats(spark, d).join(kinds, "doc_id")
+
+
+@query("c45_tree")
+def c45_tree(spark, d):
+    tree = T.c45(labelled_texts(spark, d), "label", STATS, ["lang", "source"])
+    schema = "node int, parent int, branch string, attribute string, cut double, label string, weight double, errors double"
+    return spark.createDataFrame(T.tree_rows(tree), schema)
+
+
+@query("c45_predict")
+def c45_predict(spark, d):
+    rows = settle(labelled_texts(spark, d), "labelled")
+    tree = T.c45(rows.filter(fold_of(F.col("doc_id"), 31, 10) < 8), "label", STATS, ["lang", "source"])
+    return T.predict(rows, tree).select("doc_id", "label", "predicted", F.round("confidence", 6).alias("confidence"))
+
+
 RULE_CUTS = [50000.0, 150000.0, 250000.0, 350000.0, 450000.0]
 
 

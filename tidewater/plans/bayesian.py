@@ -239,7 +239,7 @@ def gnb_compare(spark, d):
 
 # ------------------------------------------------------------ word presence
 
-VOCABULARY = 300
+VOCABULARY = 5000
 DOCS_SQL = f"""d AS (SELECT doc_id, quality AS label, text, {hash_sql('doc_id', 23)} < 3435973837 AS is_train
     FROM documents JOIN labels USING (doc_id)),
   w AS (SELECT doc_id, label, is_train, unnest({WORDS_SQL}) AS word FROM d),

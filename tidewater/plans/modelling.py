@@ -266,7 +266,7 @@ def vote_ensemble(spark, d):
 def sentiment_score(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     train = docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
-    make = Pipeline(stages=Q.text_stages(300)).fit(train)
+    make = Pipeline(stages=Q.text_stages(5000)).fit(train)
     features_path = scratch_path(spark, "text_features")
     Q.save_model(make, features_path)
     rows = settle(make.transform(train).select("features", "label"), "features")

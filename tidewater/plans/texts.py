@@ -144,19 +144,19 @@ def corpus_freq(spark, d):
 @query(
     "vocab_top_n",
     f"""SELECT word, count(*) AS n FROM (SELECT unnest({WORDS_SQL}) AS word FROM documents) GROUP BY 1
-        ORDER BY n DESC, word LIMIT 500""",
+        ORDER BY n DESC, word LIMIT 5000""",
 )
 def vocab_top_n(spark, d):
     docs = documents(spark, d).select(X.words(F.col("text")).alias("w"))
-    return X.vocabulary(docs, "w", 500)
+    return X.vocabulary(docs, "w", 5000)
 
 
 @query(
     "bow_presence",
     f"""WITH w AS (SELECT doc_id, unnest({WORDS_SQL}) AS word FROM documents),
-        v AS (SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 500)
+        v AS (SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 5000)
         SELECT DISTINCT doc_id, w.word FROM w JOIN v ON v.word = w.word""",
 )
 def bow_presence(spark, d):
     docs = documents(spark, d).select("doc_id", X.words(F.col("text")).alias("w"))
-    return X.presence(docs, ["doc_id"], "w", X.vocabulary(docs, "w", 500)).select("doc_id", "word")
+    return X.presence(docs, ["doc_id"], "w", X.vocabulary(docs, "w", 5000)).select("doc_id", "word")

@@ -21,6 +21,7 @@ from tidewater.operators import metrics as M
 from tidewater.operators import models as Q
 from tidewater.operators import neighbors as N
 from tidewater.operators import rules as L
+from tidewater.operators import sgd as G
 from tidewater.operators.sampling import fold_of, seeded_hash
 from tidewater.plans.clustering import embeddings, features
 from tidewater.plans.registry import query
@@ -86,9 +87,9 @@ def stat_features(spark, d):
 
 @query("sgd_hinge")
 def sgd_hinge(spark, d):
-    f = stat_features(spark, d)
-    out = Q.fit_score([LinearSVC(maxIter=30, regParam=1e-4, **LABEL)], f.drop("vec"))
-    return out.select("doc_id", "label", "predicted")
+    rows = settle(stat_features(spark, d).drop("features"), "examples")
+    model = G.fit_sgd(rows, "doc_id", "vec", "label", epochs=10)
+    return G.predict_sgd(rows, "vec", model).select("doc_id", "label", "predicted")
 
 
 @query("rff_svm")

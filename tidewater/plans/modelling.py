@@ -20,6 +20,7 @@ from tidewater.operators import clusters as C
 from tidewater.operators import metrics as M
 from tidewater.operators import models as Q
 from tidewater.operators import neighbors as N
+from tidewater.operators import ripper as R
 from tidewater.operators import rules as L
 from tidewater.operators import sgd as G
 from tidewater.operators.sampling import fold_of, seeded_hash
@@ -233,10 +234,9 @@ def rule_foil_gain(spark, d):
 
 @query("rule_list")
 def rule_list(spark, d):
-    rows = text_stats(spark, d)
-    cands = L.numeric_candidates(rows, STATS)
-    rules = L.learn_rules(rows, "label", 0, cands, "doc_id")
-    return L.rule_table(rows, rules, F.col("label") == 0)
+    rows = settle(labelled_texts(spark, d), "labelled")
+    rules, default = R.ripper(rows, "doc_id", "label", STATS, ["lang", "source"])
+    return R.rule_rows(rows, "label", rules, default)
 
 
 # ------------------------------------------------------- votes, experiments

@@ -344,3 +344,14 @@ def test_rules_go_on_until_they_are_no_better_than_even(spark):
     df = spark.createDataFrame(rows, "id long, g string, label int")
     found = L.learn_rules(df, "label", 1, L.value_candidates({"g": [f"v{k:02}" for k in range(20)]}), "id")
     assert sorted(found) == [[("g", "=", f"v{k:02}")] for k in range(10)]
+
+
+def test_knn_distances_grow_slowly(spark):
+    """Ten times the rows take less than twenty times the distances; chunks of 50 rows stand for large tables."""
+    draw = np.random.default_rng(1)
+    counts = []
+    for n in (1500, 15000):
+        x = np.concatenate([draw.normal(c, 1.0, (n // 3, 2)) for c in ((0, 0), (9, 0), (0, 9))])
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+        counts.append(N.distance_count(df, df, 4, "id", "v", exclude_self=True, chunk_rows=50))
+    assert counts[1] < 20 * counts[0] and counts[1] < 0.2 * 15000**2

@@ -4,10 +4,13 @@ Few queries: the query block is shipped to the tasks and the base is scanned
 once; every task keeps k candidates per query, and only those are shuffled.
 
 Many queries: rows are grouped around pivots and by distance to their pivot.
-The triangle inequality gives, for every pair of groups, the least distance two
-of their rows can have; pairs that cannot hold one of the k nearest are never
-formed.  Groups are cut into chunks of bounded size, so a hot group becomes many
-tasks.  Both ways are exact; ties go to the smaller id.
+Pivots grow with the rows, up to eight times their square root, and are grouped around a few
+of them themselves, so a row meets two short lists of pivots.  A query is first
+compared with its own group; the k-th distance found there is its bound.  By the
+triangle inequality it then skips whole families of pivots, and in the others
+all groups, that hold nothing nearer than its bound, and visits the rest.  Groups
+and their visitors are cut into chunks of bounded size, so a hot group becomes
+many tasks.  Both ways are exact; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -20,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewater.operators.relational import small
+from tidewater.session import settle
+
 QUERY_BYTES = 64 << 20
 CHUNK_ROWS = 4096
-PIVOTS = 128
-RINGS = 6
+PIVOT_BYTES = 32 << 20  # pivots are shipped to every task
+RINGS = 2
 SLICE = 1024
 
 HIT_SCHEMA = "q_id bigint, b_id bigint, dist double"
@@ -109,87 +115,145 @@ def _scan(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> Da
     return base.mapInPandas(nearest, HIT_SCHEMA)
 
 
-def _assign(df: DataFrame, pivots: np.ndarray, radii: np.ndarray | None) -> DataFrame:
-    """Nearest pivot, distance to it, and the ring that distance falls in."""
+class PivotTree:
+    """Pivots in families around a few of them.  What is shipped is the pivots and their families, as arrays."""
 
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = _matrix(pdf["vec"])
-            dist = np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], axis=1)
-            cell = dist.argmin(1)
-            r = dist[np.arange(len(x)), cell]
-            ring = np.zeros(len(x), dtype=int)
-            if radii is not None:
-                top = np.maximum(radii[cell], 1e-300)
-                ring = np.minimum((r / top * RINGS).astype(int), RINGS - 1)
-            yield pdf.assign(cell=cell, r=r, grp=cell * RINGS + ring)
+    def __init__(self, pivots: np.ndarray, family: np.ndarray | None = None) -> None:
+        self.pivots = pivots
+        self.heads = pivots[: max(1, int(np.ceil(np.sqrt(len(pivots)))))]
+        if family is None:
+            family = np.concatenate([_distances(pivots[i : i + SLICE], self.heads).argmin(1) for i in range(0, len(pivots), SLICE)])
+        self.family = family
+        self.members = [np.nonzero(family == f)[0] for f in range(len(self.heads))]
 
-    return df.mapInPandas(near, "id bigint, vec array<double>, cell int, r double, grp int")
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pivot, distance to it, distance to its family's head): nearest head first, then nearest in its family."""
+        to_heads = _distances(x, self.heads)
+        family = to_heads.argmin(1)
+        cell, r = np.zeros(len(x), dtype=int), np.zeros(len(x))
+        for f in np.unique(family):
+            rows = np.nonzero(family == f)[0]
+            d = _distances(x[rows], self.pivots[self.members[f]])
+            best = d.argmin(1)
+            cell[rows], r[rows] = self.members[f][best], d[np.arange(len(rows)), best]
+        return cell, r, to_heads[np.arange(len(x)), family]
 
 
-def _parts(sizes: pd.DataFrame, chunk_rows: int) -> dict[int, int]:
-    return {int(g): int(-(-n // chunk_rows)) for g, n in zip(sizes["grp"], sizes["n"])}
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in y], axis=1) if len(y) else np.zeros((len(x), 0))
 
 
-def _numbered(df: DataFrame, parts: dict[int, int]) -> DataFrame:
-    """Rows with the chunk of their group; a group of any size is spread over as
-    many chunks as it needs."""
-    plan = df.sparkSession.createDataFrame(list(parts.items()), "grp int, parts int")  # a row per group
-    return df.join(F.broadcast(plan), "grp").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).drop("parts")
+def pivot_tree(base: DataFrame, n: int, width: int, chunk_rows: int) -> PivotTree:
+    """Groups of about half a chunk, as long as the pivots stay below eight times the square root of the rows."""
+    wanted = min(int(np.ceil(8 * np.sqrt(n))), max(1, 2 * n // (chunk_rows * RINGS)), max(1, PIVOT_BYTES // (8 * max(1, width))))
+    return PivotTree(_matrix(base.orderBy(F.xxhash64("id"), "id").limit(max(1, wanted)).toPandas()["vec"]))
 
 
-def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chunk_rows: int) -> DataFrame:
+def _assign(df: DataFrame, tree, radii: np.ndarray | None) -> DataFrame:
+    """Pivot, distances to it and to its head, and the ring that the first distance falls in."""
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivots = PivotTree(*tree.value)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            cell, r, far = pivots.place(_matrix(pdf["vec"]))
+            ring = np.zeros(len(pdf), dtype=int)
+            if radii is not None:
+                top = np.maximum(radii[cell], 1e-300)
+                ring = np.minimum((r / top * RINGS).astype(int), RINGS - 1)
+            yield pdf.assign(cell=cell, r=r, far=far, grp=cell * RINGS + ring)
+
+    return df.mapInPandas(near, "id bigint, vec array<double>, cell int, r double, far double, grp int")
+
+
+def _surely(x: np.ndarray, need: int, t: PivotTree, groups: dict, of: list[np.ndarray], reach: np.ndarray) -> float:
+    """A distance within which one row surely has ``need`` rows, from families in the order they come near."""
+    to_heads = _distances(x[None, :], t.heads)[0]
+    far, n = np.zeros(0), np.zeros(0, dtype=int)
+    for f in np.argsort(to_heads, kind="stable"):
+        if len(of[f]):
+            far = np.append(far, _distances(x[None, :], t.pivots[groups["pivot"][of[f]]])[0] + groups["hi"][of[f]])
+            n = np.append(n, groups["n"][of[f]])
+        if n.sum() >= need:
+            by = np.argsort(far, kind="stable")
+            return float(far[by][np.searchsorted(np.cumsum(n[by]), need)])
+    return np.inf
+
+
+def _visits(known: DataFrame, gb: pd.DataFrame, tree, reach: np.ndarray, need: int) -> DataFrame:
+    """(grp, part, id, vec): the parts of groups that may hold something nearer than a query's bound."""
+    gb = gb.assign(pivot=gb["grp"] // RINGS).sort_values("grp")
+    shipped = known.sparkSession.sparkContext.broadcast({c: gb[c].to_numpy() for c in ("grp", "pivot", "n", "lo", "hi", "parts")})
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t, b = PivotTree(*tree.value), shipped.value
+        family = t.family[b["pivot"]]
+        of = [np.nonzero(family == f)[0] for f in range(len(t.heads))]
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x, theta = _matrix(pdf["vec"]), pdf["bound"].fillna(np.inf).to_numpy(dtype=float)
+            for i in np.nonzero(np.isinf(theta))[0]:
+                theta[i] = _surely(x[i], need, t, b, of, reach)
+            theta = theta * (1 + 1e-9) + 1e-9
+            to_heads = _distances(x, t.heads)
+            own, part = pdf["grp"].to_numpy(), pdf["part"].to_numpy()
+            for f, groups in enumerate(of):
+                rows = np.nonzero(to_heads[:, f] - reach[f] <= theta)[0] if len(groups) else groups
+                if not len(rows):
+                    continue
+                d = _distances(x[rows], t.pivots[b["pivot"][groups]])
+                least = np.maximum(d - b["hi"][groups], b["lo"][groups] - d)
+                at, g = np.nonzero(least <= theta[rows][:, None])
+                at, g = rows[at], groups[g]
+                times = b["parts"][g]
+                at, g = np.repeat(at, times), np.repeat(g, times)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                new = ~((own[at] == b["grp"][g]) & (part[at] == nth))
+                at, g, nth = at[new], g[new], nth[new]
+                yield pd.DataFrame({"grp": b["grp"][g], "part": nth, "id": pdf["id"].to_numpy()[at], "vec": pdf["vec"].to_numpy()[at]})
+
+    return known.select("id", "vec", "grp", "part", "bound").mapInPandas(look, "grp int, part int, id bigint, vec array<double>")
+
+
+def _searched(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chunk_rows: int):
+    """Base rows with group and part; the queries in their own part; their hits there; the visits left to make."""
     spark = base.sparkSession
-    # groups of about half a chunk: smaller ones would cost more tasks than work
-    wanted = min(PIVOTS, max(1, 2 * base.count() // (chunk_rows * RINGS)))
-    picked = base.orderBy(F.xxhash64("id"), "id").limit(wanted).toPandas()
-    pivots = _matrix(picked["vec"])
+    n, width = base.agg(F.count("*"), F.max(F.size("vec"))).first()
+    if not n:
+        return None
+    pivots = pivot_tree(base, n, width, chunk_rows)
+    tree = spark.sparkContext.broadcast((pivots.pivots, pivots.family))
     both = base.select("id", "vec").unionByName(queries.select("id", "vec"))
-    reach = _assign(both, pivots, None).groupBy("cell").agg(F.max("r")).collect()
-    radii = np.zeros(len(pivots))
-    for cell, r in reach:
+    radii = np.zeros(len(pivots.pivots))
+    for cell, r in _assign(both, tree, None).groupBy("cell").agg(F.max("r")).collect():  # a row for each pivot
         radii[cell] = r
-    placed_b, placed_q = _assign(base, pivots, radii), _assign(queries, pivots, radii)
-    extent = [F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")]
-    gb = placed_b.groupBy("grp").agg(*extent).toPandas()
-    gq = placed_q.groupBy("grp").agg(*extent).toPandas()
-    if gb.empty or gq.empty:
-        return spark.createDataFrame([], HIT_SCHEMA)
-
-    # bounds between groups, from pivot distances and ring radii
-    gap = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2))
-    d = gap[(gq["grp"] // RINGS).to_numpy()][:, (gb["grp"] // RINGS).to_numpy()]
-    q_lo, q_hi = gq["lo"].to_numpy()[:, None], gq["hi"].to_numpy()[:, None]
-    b_lo, b_hi = gb["lo"].to_numpy()[None, :], gb["hi"].to_numpy()[None, :]
-    least = np.maximum.reduce([d - q_hi - b_hi, b_lo - q_hi - d, q_lo - b_hi - d, np.zeros_like(d)])
-    most = d + q_hi + b_hi
-    need = k + (1 if exclude_self else 0)
-    counts = gb["n"].to_numpy()
-    keep = []
-    for i in range(len(gq)):
-        order = np.argsort(most[i], kind="stable")
-        enough = np.searchsorted(np.cumsum(counts[order]), need)
-        theta = most[i][order[min(enough, len(order) - 1)]] if counts.sum() >= need else np.inf
-        keep += [(int(gq["grp"][i]), int(gb["grp"][j])) for j in np.nonzero(least[i] <= theta * (1 + 1e-9) + 1e-9)[0]]
-
-    q_parts, b_parts = _parts(gq, chunk_rows), _parts(gb, chunk_rows)
-    pairs = spark.createDataFrame(
-        [(i, j, q_parts[i], b_parts[j]) for i, j in keep], "q_grp int, b_grp int, q_parts int, b_parts int"
-    )
-    first = F.lit(0)
-    work = pairs.withColumn("q_part", F.explode(F.sequence(first, F.col("q_parts") - 1))).withColumn(
-        "b_part", F.explode(F.sequence(first, F.col("b_parts") - 1))
-    )
-    work = work.select("q_grp", "q_part", "b_grp", "b_part")
-    task = ["q_grp", "q_part", "b_grp", "b_part"]
-
-    def side(placed: DataFrame, parts: dict[int, int], name: str) -> DataFrame:
-        rows = _numbered(placed, parts).select(
-            F.col("grp").alias(f"{name}_grp"), F.col("part").cast("int").alias(f"{name}_part"), "id", "vec"
-        )
-        return rows.join(work, [f"{name}_grp", f"{name}_part"]).select(*task, "id", "vec")
+    placed = settle(_assign(base, tree, radii), "base")
+    gb = placed.groupBy("grp").agg(F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi"), F.max("far").alias("far")).toPandas()
+    gb["parts"] = -(-gb["n"] // chunk_rows)
+    reach = np.full(len(pivots.heads), -np.inf)
+    np.maximum.at(reach, pivots.family[(gb["grp"] // RINGS).to_numpy()], gb["far"].to_numpy())
+    plan = spark.createDataFrame(gb[["grp", "parts"]].astype("int32"))  # a row for each group
+
+    def numbered(rows: DataFrame, how: str) -> DataFrame:
+        part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.lit(-1))
+        return rows.select("grp", "id", "vec").join(F.broadcast(plan), "grp", how).select("grp", part.alias("part"), "id", "vec")
+
+    hosts, guests = numbered(placed, "inner"), settle(numbered(_assign(queries, tree, radii), "left"), "queries")
+    own = settle(_met(guests, hosts, k, exclude_self, chunk_rows), "own")
+    bound = own.groupBy("q_id").agg(F.when(F.count("*") >= k, F.max("dist")).alias("bound"))
+    known = guests.join(bound.withColumnRenamed("q_id", "id"), "id", "left")
+    visits = settle(_visits(known, gb, tree, reach, k + (1 if exclude_self else 0)), "visits")
+    return hosts, guests, own, visits
+
+
+def _met(guests: DataFrame, hosts: DataFrame, k: int, exclude_self: bool, chunk_rows: int) -> DataFrame:
+    """k nearest of each guest among the hosts of its part; many guests of a part are met block by block."""
+    crowd = settle(guests.groupBy("grp", "part").agg(F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("blocks")), "crowd")
+    task, cols = ["grp", "part", "block"], ["grp", "part", "block", "id", "vec"]
+    left = guests.join(small(crowd), ["grp", "part"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int"))
+    right = hosts.join(small(crowd), ["grp", "part"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(b) == 0:
@@ -197,9 +261,27 @@ def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chu
         got = _block_top_k(q["id"].to_numpy(), _matrix(q["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, exclude_self)
         return pd.DataFrame(dict(zip(("q_id", "b_id", "dist"), got)))
 
-    # one chunk against one chunk per group: bounded rows on both sides
-    left, right = side(placed_q, q_parts, "q"), side(placed_b, b_parts, "b")
-    return left.groupBy(*task).cogroup(right.groupBy(*task)).applyInPandas(nearest, HIT_SCHEMA)
+    return left.select(*cols).groupBy(*task).cogroup(right.select(*cols).groupBy(*task)).applyInPandas(nearest, HIT_SCHEMA)
+
+
+def distance_count(base: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str, exclude_self: bool = False, chunk_rows: int = CHUNK_ROWS) -> int:
+    """How many distances between rows the search for many queries measures."""
+    slim = [d.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")) for d in (base, queries)]
+    found = _searched(*slim, k, exclude_self, chunk_rows)
+    if found is None:
+        return 0
+    hosts, guests, _, visits = found
+    size = lambda rows, name: rows.groupBy("grp", "part").agg(F.count("*").alias(name))
+    both = size(guests.unionByName(visits), "q").join(size(hosts, "b"), ["grp", "part"])
+    return int(both.agg(F.sum(F.col("q") * F.col("b"))).first()[0] or 0)
+
+
+def _blocks(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool, chunk_rows: int) -> DataFrame:
+    found = _searched(base, queries, k, exclude_self, chunk_rows)
+    if found is None:
+        return base.sparkSession.createDataFrame([], HIT_SCHEMA)
+    hosts, _, own, visits = found
+    return own.unionByName(_met(visits, hosts, k, exclude_self, chunk_rows))
 
 
 def vote(hits: DataFrame, labels: DataFrame, id_col: str, label_col: str, k: int | None = None) -> DataFrame:

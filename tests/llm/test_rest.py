@@ -27,7 +27,6 @@ def larger(data):
 
 def library_ids(texts):
     t = Tokenizer.from_file(BYTE_BPE)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -65,7 +64,9 @@ def test_pieces_equal_whole_texts():
     draw = random.Random(4)
     letters = "abcd XYZ  \n\t.,-!'0123é日😀\x00\x1c\xa0　"
     texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(2000)]
+    texts += [f"{t[:9]}<|endoftext|>{t[9:]}" for t in texts[:200]] + ["<|endoftext|>", "a <|endoftext|> b", "<|ENDOFTEXT|> <|endoftext| >"]
     assert encode(texts) == encode.plain(texts)
+    assert [np.frombuffer(i, encode.kind).tolist() for i in encode(["a <|endoftext|> b"])] == [[64, 220, 50256, 275]]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 50, 3000])

@@ -105,7 +105,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.byte_level = "ByteLevel" in repr(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
@@ -119,12 +119,16 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.byte_level:
             return self.plain(texts)
-        split = [t.replace("\n", " \n").split(" ") for t in texts]
-        self.pieces.learn({p for words in split for p in words[1:]})
-        firsts = self.plain([w[0] for w in split])
+        # a text that spells an added token goes to the library whole
+        split = [None if any(a in t for a in self.added) else t.replace("\n", " \n").split(" ") for t in texts]
+        self.pieces.learn({p for words in split if words for p in words[1:]})
+        firsts = iter(self.plain([w[0] for w in split if w]))
         out = []
-        for text, words, first in zip(texts, split, firsts, strict=True):
+        for text, words in zip(texts, split, strict=True):
             try:
+                if words is None:
+                    raise KeyError(text)
+                first = next(firsts)
                 if len(words) > 1 and not (self.pieces.sound(words[0]) and words[0][0] != "\n"):
                     raise KeyError(words[0])
                 out.append(first + b"".join(map(self.pieces.__getitem__, words[1:])))

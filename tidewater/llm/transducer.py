@@ -9,9 +9,14 @@ the string l r again yields exactly l and r, so that arc has weight 0 and every
 other pair weight infinity.  Composed with an input, the best path under
 (min, +) is then the model's own segmentation.
 
+Whether the merge of "l r" crosses the border is read off the two borders as
+they grow: the tokens at the right edge of l and at the left edge of r, each
+with the rank of the merge that takes it in.  Two tokens that face each other
+and would merge earlier than either is taken in cross the border.
+
 Two things keep the composition small.  No path crosses a place whose two
-symbols stand side by side in no piece, so inputs are cut there.  Parts that
-were composed before are remembered, up to a bound.
+symbols stand side by side in no piece, so inputs are cut there.  Words and
+parts of words that were composed before are remembered, up to a bound each.
 
 Null and empty texts encode to nothing and decode to the empty text.
 """
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,9 @@ from tidewater.llm.common import per_worker, pieces
 
 # Fixed value: the mark that stands for a blank.
 MARK = "▁"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+CACHE_PARTS = 300_000
+CACHE_SYMBOLS = 40  # longest word or part that is remembered
 CACHE_PAIRS = 1_000_000
 INFINITE = float("inf")
 
@@ -104,12 +112,25 @@ class PieceTransducer:
                 self.id_of[piece] = i
                 self.rank[piece] = -model.get_score(i)
                 self.written[i] = piece.encode()
-        self.longest = max(map(len, self.id_of))
+        ends: dict[str, set[int]] = {}
+        for piece in self.id_of:
+            ends.setdefault(piece[-2:], set()).add(len(piece))
+        # lengths of the pieces that end in two symbols, the longest first and a single symbol last
+        self.lengths = {end: tuple(sorted(found | {1}, reverse=True)) for end, found in ends.items() if len(end) == 2}
         self.side_by_side = {p[k : k + 2] for p in self.id_of for k in range(len(p) - 1)}
+        self.cuts_at_marks = all(pair[0] == MARK for pair in self.side_by_side if pair[1] == MARK)
+        self.last_merge: dict[str, tuple[str, str] | None] = {}
         self.stable = {p: self.merged(p) == [p] for p in self.id_of}
+        # borders can be read off where every merge comes after those of its halves
+        self.ranked: dict[str, bool] = {}
+        for p in sorted(self.id_of, key=len):
+            halves = [x for x in self.last_merge.get(p) or () if len(x) > 1]
+            self.ranked[p] = self.stable[p] and all(self.ranked.get(x, False) and self.rank[x] < self.rank[p] for x in halves)
+        self.edges: dict[tuple[str, bool], list[tuple[str, float]]] = {}
         self.pairs: dict[tuple[str, str], float] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.known_parts: dict[str, bytes] = {}
 
     # ---- weights
 
@@ -120,6 +141,8 @@ class PieceTransducer:
             best = min((self.rank.get(parts[k] + parts[k + 1], INFINITE), k) for k in range(len(parts) - 1))
             if best[0] == INFINITE:
                 break
+            if len(parts) == 2:
+                self.last_merge[symbols] = (parts[0], parts[1])
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return parts
 
@@ -131,84 +154,113 @@ class PieceTransducer:
         if key not in self.pairs:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            self.pairs[key] = 0.0 if self.merged(left + right) == [left, right] else INFINITE
+            apart = self.stay_apart(left, right) if self.ranked[left] and self.ranked[right] else self.merged(left + right) == [left, right]
+            self.pairs[key] = 0.0 if apart else INFINITE
         return self.pairs[key]
 
+    def edge(self, piece: str, right: bool) -> list[tuple[str, float]]:
+        """Tokens at one edge of a piece while it is merged, each with the rank of the merge that takes it in."""
+        key = (piece, right)
+        if key not in self.edges:
+            halves = self.last_merge.get(piece) if len(piece) > 1 else None
+            inner = self.edge(halves[right], right) if halves else []
+            taken = [*inner[:-1], (inner[-1][0], self.rank[piece])] if inner else []
+            self.edges[key] = [*taken, (piece, INFINITE)]
+        return self.edges[key]
+
+    def stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging two ranked pieces side by side gives just them: of equal ranks the leftmost goes first."""
+        a, b = self.edge(left, True), self.edge(right, False)
+        i = j = 0
+        while True:
+            (x, taken_x), (y, taken_y) = a[i], b[j]
+            rank = self.rank.get(x + y, INFINITE)
+            if rank < taken_x and rank <= taken_y and rank < INFINITE:
+                return False
+            if taken_x == taken_y == INFINITE:
+                return True
+            if taken_x <= taken_y:
+                i += 1
+            else:
+                j += 1
+
     # ---- composition
 
     def shortest_path(self, part: str) -> list[str]:
         """Pieces of a part that holds no place of cutting and only known symbols."""
         n = len(part)
-        best: list[tuple[float, str]] = [(0.0, "")] + [(INFINITE, "")] * n
+        cost, last = [0.0] + [INFINITE] * n, [""] * (n + 1)
+        lengths, weights = self.lengths, self.pairs
         for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
+            for length in lengths.get(part[end - 2 : end] if end > 1 else part[0], (1,)):
+                start = end - length
+                if start < 0 or cost[start] >= cost[end]:
+                    continue
                 piece = part[start:end]
-                if piece in self.id_of and best[start][0] < best[end][0]:
-                    cost = best[start][0] + self.weight(best[start][1], piece)
-                    if cost < best[end][0]:
-                        best[end] = (cost, piece)
-                        if not cost:  # no path is lighter
-                            break
-        if best[n][0] == INFINITE:
+                weight = weights.get((last[start], piece))
+                if weight is None:
+                    if piece not in self.id_of:
+                        continue
+                    weight = self.weight(last[start], piece)
+                if cost[start] + weight < cost[end]:
+                    cost[end], last[end] = cost[start] + weight, piece
+                    if not cost[end]:  # no path is lighter
+                        break
+        if cost[n] == INFINITE:
             raise ValueError(f"no path for {part!r}")
         path, end = [], n
         while end:
-            path.append(best[end][1])
-            end -= len(best[end][1])
+            path.append(last[end])
+            end -= len(last[end])
         return path[::-1]
 
-    def parts(self, symbols: str) -> Iterator[str]:
-        start = 0
-        for k in range(1, len(symbols)):
-            if symbols[k - 1 : k + 1] not in self.side_by_side:
-                yield symbols[start:k]
-                start = k
-        if start < len(symbols):
-            yield symbols[start:]
+    def parts(self, symbols: str) -> list[str]:
+        inside = self.side_by_side
+        cuts = [k for k, pair in enumerate(map(add, symbols, symbols[1:]), 1) if pair not in inside]
+        if not cuts:
+            return [symbols] if symbols else []
+        return [symbols[i:k] for i, k in zip([0, *cuts], [*cuts, len(symbols)], strict=True)]
 
     def _ids(self, part: str) -> list[int]:
         if len(part) == 1 and part not in self.id_of:
             return [self.bytes_of[b] for b in part.encode()]
         if part in self.id_of and self.stable[part]:
             return [self.id_of[part]]
-        if any(c not in self.id_of for c in part):
+        if not self.id_of.keys() >= set(part):
             raise ValueError(f"symbols of {part!r} are no pieces of their own")
         return [self.id_of[p] for p in self.shortest_path(part)]
 
-    def word(self, symbols: str) -> bytes:
-        """Raw ids of a run of symbols between two places of cutting."""
-        found = self.words.get(symbols)
+    def part(self, symbols: str) -> bytes:
+        """Raw ids of a run of symbols that holds no place of cutting."""
+        found = self.known_parts.get(symbols)
         if found is None:
-            found = self.older.get(symbols)
-            if found is None:
-                cut = list(self.parts(symbols))
-                if len(cut) == 1:
-                    found = np.array(self._ids(symbols), dtype=self.kind).tobytes()
-                else:
-                    found = b"".join(map(self.word, cut))
+            found = np.array(self._ids(symbols), dtype=self.kind).tobytes()
+            if len(symbols) <= CACHE_SYMBOLS:
+                if len(self.known_parts) >= CACHE_PARTS:
+                    self.known_parts.clear()
+                self.known_parts[symbols] = found
+        return found
+
+    def word(self, word: str) -> bytes:
+        """Raw ids of a word with the mark before it."""
+        found = self.older.get(word)
+        if found is None:
+            found = b"".join(map(self.part, self.parts(MARK + word)))
+        if len(word) <= CACHE_SYMBOLS:
             if len(self.words) >= CACHE_WORDS:  # the younger generation becomes the older
                 self.older, self.words = self.words, {}
-            self.words[symbols] = found
+            self.words[word] = found
         return found
 
     def encode(self, text: str | None) -> np.ndarray:
+        if text and self.cuts_at_marks and self.normalise.prefix and text[0] != " " and "  " not in text and MARK not in text and not (self.normalise.squeeze and text[-1] == " "):
+            words = text.split(" ")
+            found = list(map(self.words.get, words))
+            if None in found:
+                found = [self.word(w) if f is None else f for w, f in zip(words, found, strict=True)]
+            return np.frombuffer(b"".join(found), dtype=self.kind)
         symbols = self.normalise(text) if text else ""
-        if not symbols:
-            return np.zeros(0, dtype=self.kind)
-        if self.cuts_at_marks and MARK + MARK not in symbols:
-            first, *rest = symbols.split(MARK)
-            words = [first] if first else []
-            words += [MARK + w for w in rest]
-        else:
-            words = list(self.parts(symbols))
-        return np.frombuffer(b"".join(map(self.word, words)), dtype=self.kind)
-
-    @property
-    def cuts_at_marks(self) -> bool:
-        """No piece has a mark after another symbol."""
-        if not hasattr(self, "_at_marks"):
-            self._at_marks = all(pair[0] == MARK for pair in self.side_by_side if pair[1] == MARK)
-        return self._at_marks
+        return np.frombuffer(b"".join(map(self.part, self.parts(symbols))), dtype=self.kind)
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of any id sequence; broken bytes become replacement characters."""

@@ -23,6 +23,7 @@ from tidewater.operators import neighbors as N
 from tidewater.operators import ripper as R
 from tidewater.operators import rules as L
 from tidewater.operators import sgd as G
+from tidewater.operators import svm as V
 from tidewater.operators.sampling import fold_of, seeded_hash
 from tidewater.plans.clustering import embeddings, features
 from tidewater.plans.registry import query
@@ -102,6 +103,20 @@ def rff_svm(spark, d):
     return out.select("vec_id", "label", "predicted")
 
 
+@query("kernel_svm")
+def kernel_svm(spark, d):
+    e = settle(embeddings(spark, d), "rows")
+    machines = V.fit_svm(e.filter(fold_of(F.col("vec_id"), 31, 10) < 8), "embedding", "label", cost=1.0, gamma=0.5)
+    return V.predict_svm(e, "embedding", machines, 0.5).select("vec_id", "label", "predicted", F.round("decision", 3).alias("decision"))
+
+
+@query("nu_svm")
+def nu_svm(spark, d):
+    rows = settle(stat_features(spark, d).drop("features"), "examples")
+    machines = V.fit_nu_svm(rows, "vec", "label", nu=0.2, gamma=0.5)
+    return V.predict_svm(rows, "vec", machines, 0.5).select("doc_id", "label", "predicted")
+
+
 @query("linreg_elastic")
 def linreg_elastic(spark, d):
     rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(

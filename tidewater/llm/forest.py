@@ -340,7 +340,9 @@ def near_vectors(
 
     Vectors of one label with a cosine of at least ``least`` that meet in a leaf or
     a crowd are linked.  n_links counts the other vectors linked directly, copies
-    included.
+    included.  Rows repeated with one id are rows of their own, each linked with
+    its copies.  Columns other than the three named are not read, so their names
+    may be anything; an empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
     sound = F.col("label").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)

@@ -9,8 +9,10 @@ A language contains an n-gram when the n-gram is frequent enough in its texts
 and not an accident beside the language that uses it most, so that a few foreign
 words do not spread a language's bits.
 
-Null texts and texts without a letter get ``und`` with score 0.  The whole text
-is read.  Only the fit is bounded: ``sample`` documents for each language.
+Null texts and texts without a letter get ``und`` with score 0.  Of languages
+with equal shares the first by name wins.  Repeated rows are rows of their own in
+the fit and in prediction; an empty table, or one without labels, teaches no
+language and every text is ``und``.  The whole text is read.  Only the fit is bounded: ``sample`` documents for each language.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ exception phrase, a word pair that is common in clean documents, does not count.
 The weights found are divided by a power of the number of words; a monotone map
 puts the cut that is best on the sample at a score of 0.7.
 
-Null and empty texts score 0.  The whole text is read.  Only the fit is bounded:
+Null and empty texts score 0.  A document that is labelled both ways counts in
+both classes; repeated rows are rows of their own.  The whole text is read.  Only the fit is bounded:
 about ``sample`` documents of each class.
 """
 

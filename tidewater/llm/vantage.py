@@ -185,7 +185,10 @@ def nearest(
     """(query_id, rank, id, score) of each query's k nearest rows but its own.
 
     ``is_query`` is a condition on ``id``.  Fewer than k rows come back only
-    where there are fewer candidates.  Ties go to the smaller id.
+    where there are fewer candidates.  Ties go to the smaller id.  Rows repeated
+    with one id and vector are one row; of rows with one id and other vectors each
+    is a candidate and a query of its own.  Columns other than the two named are
+    not read; an empty table gives no rows.
     """
     rows = settle(usable(vectors, id_col, vector_col).dropDuplicates(["id", "v"]), "vectors")
     n, norm = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()

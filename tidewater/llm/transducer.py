@@ -112,11 +112,15 @@ class PieceTransducer:
                 self.id_of[piece] = i
                 self.rank[piece] = -model.get_score(i)
                 self.written[i] = piece.encode()
-        ends: dict[str, set[int]] = {}
-        for piece in self.id_of:
-            ends.setdefault(piece[-2:], set()).add(len(piece))
-        # lengths of the pieces that end in two symbols, the longest first and a single symbol last
-        self.lengths = {end: tuple(sorted(found | {1}, reverse=True)) for end, found in ends.items() if len(end) == 2}
+        # the piece machine's arcs: symbol by symbol from a start, "" holds the piece read so far
+        self.arcs: dict = {}
+        for piece, i in self.id_of.items():
+            node = self.arcs
+            for symbol in piece:
+                node = node.setdefault(symbol, {})
+            node[""] = i
+        self.spelled = {i: piece for piece, i in self.id_of.items()}
+        self.symbols = {piece for piece in self.id_of if len(piece) == 1}
         self.side_by_side = {p[k : k + 2] for p in self.id_of for k in range(len(p) - 1)}
         self.cuts_at_marks = all(pair[0] == MARK for pair in self.side_by_side if pair[1] == MARK)
         self.last_merge: dict[str, tuple[str, str] | None] = {}
@@ -127,7 +131,7 @@ class PieceTransducer:
             halves = [x for x in self.last_merge.get(p) or () if len(x) > 1]
             self.ranked[p] = self.stable[p] and all(self.ranked.get(x, False) and self.rank[x] < self.rank[p] for x in halves)
         self.edges: dict[tuple[str, bool], list[tuple[str, float]]] = {}
-        self.pairs: dict[tuple[str, str], float] = {}
+        self.pairs: dict[int, float] = {}  # by (left + 1) * size + right
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.known_parts: dict[str, bytes] = {}
@@ -146,17 +150,18 @@ class PieceTransducer:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return parts
 
-    def weight(self, left: str, right: str) -> float:
-        """Weight of the arc that writes ``right`` in state ``left``; "" is the start."""
-        if not left:
-            return 0.0 if self.stable[right] else INFINITE
-        key = (left, right)
-        if key not in self.pairs:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            apart = self.stay_apart(left, right) if self.ranked[left] and self.ranked[right] else self.merged(left + right) == [left, right]
-            self.pairs[key] = 0.0 if apart else INFINITE
-        return self.pairs[key]
+    def weight(self, left: int, right: int) -> float:
+        """Weight of the arc that writes piece ``right`` in state ``left``; -1 is the start."""
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        after = self.spelled[right]
+        if left < 0:
+            apart = self.stable[after]
+        else:
+            before = self.spelled[left]
+            apart = self.stay_apart(before, after) if self.ranked[before] and self.ranked[after] else self.merged(before + after) == [before, after]
+        self.pairs[(left + 1) * self.size + right] = found = 0.0 if apart else INFINITE
+        return found
 
     def edge(self, piece: str, right: bool) -> list[tuple[str, float]]:
         """Tokens at one edge of a piece while it is merged, each with the rank of the merge that takes it in."""
@@ -186,32 +191,34 @@ class PieceTransducer:
 
     # ---- composition
 
-    def shortest_path(self, part: str) -> list[str]:
-        """Pieces of a part that holds no place of cutting and only known symbols."""
+    def shortest_path(self, part: str) -> list[int]:
+        """Piece ids of a part that holds no place of cutting and only known symbols."""
         n = len(part)
-        cost, last = [0.0] + [INFINITE] * n, [""] * (n + 1)
-        lengths, weights = self.lengths, self.pairs
-        for end in range(1, n + 1):
-            for length in lengths.get(part[end - 2 : end] if end > 1 else part[0], (1,)):
-                start = end - length
-                if start < 0 or cost[start] >= cost[end]:
-                    continue
-                piece = part[start:end]
-                weight = weights.get((last[start], piece))
-                if weight is None:
-                    if piece not in self.id_of:
-                        continue
-                    weight = self.weight(last[start], piece)
-                if cost[start] + weight < cost[end]:
-                    cost[end], last[end] = cost[start] + weight, piece
-                    if not cost[end]:  # no path is lighter
-                        break
+        cost, last, back = [0.0] + [INFINITE] * n, [-1] * (n + 1), [0] * (n + 1)
+        weights = self.pairs
+        for start in range(n):
+            here = cost[start]
+            if here == INFINITE:
+                continue
+            node, state, end = self.arcs, (last[start] + 1) * self.size, start
+            for symbol in part[start:]:
+                node = node.get(symbol)
+                if node is None:
+                    break
+                end += 1
+                if here < cost[end] and "" in node:
+                    piece = node[""]
+                    weight = weights.get(state + piece)
+                    if weight is None:
+                        weight = self.weight(last[start], piece)
+                    if here + weight < cost[end]:
+                        cost[end], last[end], back[end] = here + weight, piece, start
         if cost[n] == INFINITE:
             raise ValueError(f"no path for {part!r}")
         path, end = [], n
         while end:
             path.append(last[end])
-            end -= len(last[end])
+            end = back[end]
         return path[::-1]
 
     def parts(self, symbols: str) -> list[str]:
@@ -226,9 +233,9 @@ class PieceTransducer:
             return [self.bytes_of[b] for b in part.encode()]
         if part in self.id_of and self.stable[part]:
             return [self.id_of[part]]
-        if not self.id_of.keys() >= set(part):
+        if not self.symbols.issuperset(part):
             raise ValueError(f"symbols of {part!r} are no pieces of their own")
-        return [self.id_of[p] for p in self.shortest_path(part)]
+        return self.shortest_path(part)
 
     def part(self, symbols: str) -> bytes:
         """Raw ids of a run of symbols that holds no place of cutting."""

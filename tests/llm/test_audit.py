@@ -125,8 +125,9 @@ def test_audit_is_the_plain_one(spark, monkeypatch):
     b = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     want = plain_audit(docs, labels)
     extra = a.select("*", *[F.lit(1).alias(c) for c in ("id", "th", "mask", "part", "n", "good", "body", "first", "slot", "heavy")])
-    for heavy in (1000, 8):  # with 8, the rows of the larger groups go the way of heavy ones
+    for heavy, broadcast in ((1000, audit.SKETCH_BYTES), (8, 0)):  # then a large sketch, and the larger groups heavy
         monkeypatch.setattr(audit, "HEAVY", heavy)
+        monkeypatch.setattr(audit, "SKETCH_BYTES", broadcast)
         assert set(map(tuple, audit.filter_audit(extra, b).collect())) == want
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import pieces, raw
 from tidewater.operators.relational import small
-from tidewater.session import settle, spread
+from tidewater.session import settle, size_in_bytes, spread
 
 FILTERS = "ABCDE"
 BITS = {name: 1 << k for k, name in enumerate(FILTERS)}
@@ -49,6 +49,7 @@ CONTINUED = bytes(range(0x80, 0xC0))  # bytes that begin no code point
 
 PROBES = 2
 SLOTS_A_ROW = 16
+SKETCH_BYTES = 32 << 20  # crowded slots up to which they are broadcast
 HEAVY = 1000  # a text with more than 1 / HEAVY of all possible repeats is heavy: there are fewer than HEAVY
 
 
@@ -99,14 +100,19 @@ def crowded_slots(rows: DataFrame, n_slots: int) -> DataFrame:
 def possible_repeats(rows: DataFrame, th: Column, sketch: DataFrame, n_slots: int) -> DataFrame:
     """Rows all of whose slots are crowded; the others' texts are unique.
 
-    Heavy slots are few by their definition and always broadcast; only rows that
-    miss them meet the rest of the sketch, which is broadcast if it is small.
+    A small sketch is broadcast, and the rows are read once.  Of a larger one the
+    heavy slots, few by their definition, are broadcast, and only rows that miss
+    them are shuffled to the rest.
     """
+    whole = size_in_bytes(sketch) <= SKETCH_BYTES
     for k, slot in enumerate(slots(th, n_slots)):
         name = f"_slot{k}"
         rows = rows.withColumn(name, slot)
+        if whole:
+            rows = rows.join(F.broadcast(sketch.select(F.col("slot").alias(name))), name, "left_semi")
+            continue
         heavy = F.broadcast(sketch.filter("heavy").select(F.col("slot").alias(name)))
-        light = small(sketch.filter("not heavy").select(F.col("slot").alias(name)))
+        light = sketch.filter("not heavy").select(F.col("slot").alias(name))
         rows = rows.join(heavy, name, "left_semi").unionByName(rows.join(heavy, name, "left_anti").join(light, name, "left_semi"))
     return rows.drop(*[f"_slot{k}" for k in range(PROBES)])
 

@@ -355,3 +355,24 @@ def test_knn_distances_grow_slowly(spark):
         df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
         counts.append(N.distance_count(df, df, 4, "id", "v", exclude_self=True, chunk_rows=50))
     assert counts[1] < 20 * counts[0] and counts[1] < 0.2 * 15000**2
+
+
+def test_knn_scan_holds_little():
+    # a task of the scan met whole batches with 1,024 queries and sorted the hits of all queries at once
+    import tracemalloc
+
+    import pandas as pd
+
+    draw = np.random.default_rng(3)
+    base, q = draw.normal(size=(9000, 4)), draw.normal(size=(3000, 4))
+    pdf = pd.DataFrame({"id": np.arange(9000), "vec": list(base)})
+    tracemalloc.start()
+    got = pd.concat(N._scanned(iter([pdf, pdf.head(0)]), np.arange(3000), q, 5, True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    far = ((q[:50, None, :] - base[None, :, :]) ** 2).sum(2)
+    for i in range(50):
+        far[i, i] = np.inf
+        mine = got[got.q_id == i].sort_values(["dist", "b_id"])
+        assert mine.b_id.tolist() == np.argsort(far[i])[:5].tolist()

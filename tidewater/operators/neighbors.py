@@ -31,6 +31,7 @@ CHUNK_ROWS = 4096
 PIVOT_BYTES = 32 << 20  # pivots are shipped to every task
 RINGS = 2
 SLICE = 1024
+RUN = 2048  # base rows held against a slice of queries
 
 HIT_SCHEMA = "q_id bigint, b_id bigint, dist double"
 
@@ -99,22 +100,27 @@ def _scan(base: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> Da
     shipped = spark.sparkContext.broadcast((block["id"].to_numpy(), _matrix(block["vec"])))
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q_ids, q = shipped.value
-        best = None
-        for pdf in batches:
-            if len(pdf) == 0 or len(q_ids) == 0:
-                continue
-            got = pd.DataFrame(
-                dict(zip(("q_id", "b_id", "dist"), _block_top_k(q_ids, q, pdf["id"].to_numpy(), _matrix(pdf["vec"]), k, exclude_self)))
-            )
-            best = got if best is None else pd.concat([best, got])
-            best = best.sort_values(["q_id", "dist", "b_id"]).groupby("q_id").head(k)
-        if best is not None:
-            yield best
+        yield from _scanned(batches, *shipped.value, k, exclude_self)
 
     return base.mapInPandas(nearest, HIT_SCHEMA)
 
 
+def _scanned(batches: Iterator[pd.DataFrame], q_ids: np.ndarray, q: np.ndarray, k: int, exclude_self: bool) -> Iterator[pd.DataFrame]:
+    """k nearest of every query among the rows of one task: beside the queries and
+    their hits a task only holds what a slice of queries and a run of rows need."""
+    best: dict[int, pd.DataFrame] = {}
+    for pdf in batches:
+        ids, rows = pdf["id"].to_numpy(), _matrix(pdf["vec"])
+        for low in range(0, len(rows), RUN):
+            b_ids, b = ids[low : low + RUN], rows[low : low + RUN]
+            for at in range(0, len(q), SLICE):
+                got = _slice_top_k(q_ids[at : at + SLICE], q[at : at + SLICE], b_ids, b, k, exclude_self)
+                found = pd.DataFrame(dict(zip(("q_id", "b_id", "dist"), got)))
+                found = found if at not in best else pd.concat([best[at], found])
+                best[at] = found.sort_values(["q_id", "dist", "b_id"]).groupby("q_id").head(k)
+    yield from best.values()
+
+
 class PivotTree:
     """Pivots in families around a few of them.  What is shipped is the pivots and their families, as arrays."""
 

@@ -376,3 +376,18 @@ def test_knn_scan_holds_little():
         far[i, i] = np.inf
         mine = got[got.q_id == i].sort_values(["dist", "b_id"])
         assert mine.b_id.tolist() == np.argsort(far[i])[:5].tolist()
+
+
+def test_few_keys_are_looked_for(spark, monkeypatch):
+    texts = [(1, "NATION_1 / ab"), (2, "NATION_12"), (2, "héé x"), (3, None), (4, ""), (None, "NATION_2 a.b"), (5, "a%b_c"), (6, "  b")]
+    needles = [(1, "NATION_1"), (2, "NATION_2"), (3, "é"), (4, "éé"), (5, "b"), (6, "b_"), (7, "%"), (8, "zz"), (9, None), (1, "  b"), (None, "ab")]
+    hay = spark.createDataFrame(texts, "h int, t string")
+    few = spark.createDataFrame(needles, "n int, s string")
+    join = lambda: sorted(map(str, Y.join_contains(hay, "h", "t", few, "n", ["s"]).collect()))
+    looked = join()
+    # the few grams asked for come out of a text, not all of its own
+    wanted = spark.createDataFrame([("NAT",), ("xyz",)], "key string")
+    rows = hay.select(F.col("h").alias("hid"), F.col("t").alias("text"))
+    assert sorted(r.key for r in Y._with_keys(rows, wanted, Y._grams(F.col("text"), 3), True).collect()) == ["NAT"] * 3
+    monkeypatch.setattr(Y, "FEW_KEYS", 0)
+    assert looked == join() and len(looked) == 10

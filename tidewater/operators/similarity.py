@@ -19,6 +19,7 @@ from tidewater.operators.relational import small
 from tidewater.session import settle
 
 GRAM = 3
+FEW_KEYS = 256  # so many keys are looked for in every text; past it texts are cut into theirs
 
 
 # ------------------------------------------------------------- containment
@@ -44,10 +45,19 @@ def _grams(text: Column, n: int) -> Column:
     return F.array_distinct(F.filter(out, lambda g: F.length(g) == n))
 
 
-def _candidates(hay: DataFrame, needles: DataFrame, hay_keys: Column, needle_keys: Column) -> DataFrame:
+def _with_keys(hay: DataFrame, wanted: DataFrame, hay_keys: Column, grams: bool) -> DataFrame:
+    """(hid, key): the keys of every text, or only the wanted ones where they are few grams."""
+    few = [r.key for r in wanted.select("key").distinct().limit(FEW_KEYS + 1).collect()] if grams else []
+    if not 0 < len(few) <= FEW_KEYS:
+        return hay.select("hid", F.explode(hay_keys).alias("key"))
+    held = F.filter(F.array(*[F.lit(k) for k in sorted(few)]), lambda k: F.contains(F.col("text"), k))
+    return hay.select("hid", F.explode(held).alias("key"))
+
+
+def _candidates(hay: DataFrame, needles: DataFrame, hay_keys: Column, needle_keys: Column, grams: bool) -> DataFrame:
     """(hid, nid) pairs that share the needle's rarest key."""
     keys = needles.select("nid", F.explode(needle_keys).alias("key"))
-    found = hay.select("hid", F.explode(hay_keys).alias("key"))
+    found = _with_keys(hay, keys, hay_keys, grams)
     # texts are cut up twice: once to count, which shuffles a row per key, and
     # once for the chosen keys; keeping every shared key would outgrow the texts
     often = (
@@ -58,7 +68,7 @@ def _candidates(hay: DataFrame, needles: DataFrame, hay_keys: Column, needle_key
     counted = keys.join(small(often), "key", "left").na.fill(0, ["n"])
     rarest = counted.groupBy("nid").agg(F.min(F.struct("n", "key")).alias("k"))
     probe = settle(rarest.filter(F.col("k.n") > 0).select("nid", F.col("k.key").alias("key")), "probe")
-    return found.join(small(probe), "key").select("hid", "nid")
+    return _with_keys(hay, probe, hay_keys, grams).join(small(probe), "key").select("hid", "nid")
 
 
 def join_contains(
@@ -80,15 +90,15 @@ def join_contains(
     if blank.limit(1).count():
         pairs = h.filter("text is not null").select("hid").join(small(blank))
         n = n.filter("n0 <> ''")
-    shapes = [(F.col("_w") > 0, _word_keys(F.col("text")), _inner_words(F.col("n0")))]
+    shapes = [(F.col("_w") > 0, _word_keys(F.col("text")), _inner_words(F.col("n0")), False)]
     for size in range(1, GRAM + 1):
         fits = F.length("n0") == size if size < GRAM else F.length("n0") >= size
-        shapes.append(((F.col("_w") == 0) & fits, _grams(F.col("text"), size), _grams(F.col("n0"), size)))
-    for keep, hay_keys, needle_keys in shapes:
+        shapes.append(((F.col("_w") == 0) & fits, _grams(F.col("text"), size), _grams(F.col("n0"), size), True))
+    for keep, hay_keys, needle_keys, grams in shapes:
         some = n.filter(keep)
         if some.limit(1).count() == 0:
             continue
-        found = _candidates(h, some, hay_keys, needle_keys)
+        found = _candidates(h, some, hay_keys, needle_keys, grams)
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:
         pairs = h.sparkSession.createDataFrame([], "hid bigint, nid bigint")

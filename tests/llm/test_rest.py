@@ -40,6 +40,20 @@ def test_token_files_are_the_librarys(spark, data, corpus):
     assert sorted(map(tuple, PLANS["op4_token_files"](spark, data).collect())) == want
 
 
+def test_new_words_are_spelt_in_rows(monkeypatch):
+    handed, plain = [], token_files.Encoder.plain
+    monkeypatch.setattr(token_files.Encoder, "plain", lambda self, texts: handed.extend(texts) or plain(self, texts))
+    encode = token_files.Encoder(BYTE_BPE)
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdeéßXY", k=r.randrange(1, 9))) + r.choice(["", "", ".", "***", "'", "?!,", "12", "#a"]) for _ in range(4000)]
+    texts = [" ".join(words[i : i + 50]).replace(" a", "\nA") for i in range(0, 4000, 50)] + ["a <|endoftext|> b***", "x  y", "", "\n"]
+    for _ in range(2):
+        got = [np.frombuffer(b, encode.kind).tolist() for b in encode(texts)]
+        assert got == library_ids(texts)
+    # first words, marks and the odd texts one by one, all others a thousand at a time
+    assert len(handed) < 2 * len(texts) + 30
+
+
 def test_token_files_odd_rows(spark, odd, clashing, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     ids = library_ids([t for _, t in rows])

@@ -19,6 +19,7 @@ of the text.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,6 +42,9 @@ KEY = "<?qI"  # null, id, occurrence
 KEYS_A_BUCKET = 4
 TRIES = 64
 CACHE_PIECES = 400_000
+CACHE_MARKS = 10_000
+MOST_MARKS = 8  # at a piece's end that are cut off it
+ROW_PIECES = 1000  # pieces spelt as one text
 DOCS_A_SHARD = 8192
 
 
@@ -52,10 +56,10 @@ class PieceIds(dict):
 
     The byte-level pattern never joins across a single blank between two
     characters that are not blanks, nor across a line feed between two such, so
-    a text's ids are those of its pieces.  A full stop or comma after a letter
-    is a piece of its own as well.  A piece beginning with a line feed has no
-    blank before it.  Pieces of any other make raise KeyError; the tokenizer
-    then gets the whole text.
+    a text's ids are those of its pieces.  Marks after a letter are a piece of
+    their own as well.  A piece beginning with a line feed has no blank before
+    it.  Pieces of any other make have no ids here; the tokenizer then gets the
+    whole text.
 
     Two generations of entries are kept: when the younger is full it becomes the
     older one, so frequent pieces stay and memory is bounded.
@@ -65,7 +69,7 @@ class PieceIds(dict):
         super().__init__()
         self.encode_all = encode_all
         self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(".,", encode_all([".", ","]), strict=True))
+        self.marks: dict[str, bytes] = {}
 
     @staticmethod
     def sound(piece: str) -> bool:
@@ -75,26 +79,40 @@ class PieceIds(dict):
 
     @staticmethod
     def stem(piece: str) -> str:
-        return piece[:-1] if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha() else piece
-
-    def __missing__(self, piece: str) -> bytes:
-        if piece in self.older:
-            self[piece] = found = self.older[piece]
-            return found
-        raise KeyError(piece)
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the sound ones of the pieces that are not known, in one call."""
-        new = [p for p in pieces if p not in self and p not in self.older and self.sound(p)]
-        if len(self) + len(new) > CACHE_PIECES:
+        """The piece less the marks that follow its last letter."""
+        stem = piece.rstrip(string.punctuation)
+        return stem if stem and len(piece) - len(stem) <= MOST_MARKS and stem[-1].isalpha() else piece
+
+    def marked(self, stem: bytes, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= CACHE_MARKS:
+                self.marks.clear()
+            self.marks[marks] = self.encode_all([marks])[0]
+        return stem + self.marks[marks]
+
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of the sound ones of some pieces that the younger generation lacks."""
+        found, new, older = {}, [], self.older
+        for p in pieces:
+            ids = older.get(p)
+            if ids is not None:
+                found[p] = ids
+            elif p.isalpha() or self.sound(p):
+                new.append((p, p if p[-1].isalpha() else self.stem(p)))
+        stems = {}
+        for _, stem in new:
+            stems[stem] = found.get(stem) or self.get(stem) or older.get(stem)
+        fresh = [stem for stem, ids in stems.items() if ids is None]
+        stems.update(zip(fresh, self.encode_all([p if p[0] == "\n" else " " + p for p in fresh]), strict=True))
+        found.update(stems)
+        for p, stem in new:
+            if len(stem) < len(p):
+                found[p] = self.marked(stems[stem], p[len(stem) :])
+        if len(self) + len(found) > CACHE_PIECES:
             self.older = dict(self)
             self.clear()
-        stems = list({self.stem(p) for p in new})
-        fresh = [p for p in stems if p not in self and p not in self.older]
-        self.update(zip(fresh, self.encode_all([p if p[0] == "\n" else " " + p for p in fresh]), strict=True))
-        for p in new:
-            if p not in self:
-                self[p] = self[self.stem(p)] + self.marks[p[-1]]
+        self.update(found)
+        return found
 
 
 class Encoder:
@@ -109,29 +127,56 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.byte_level = "ByteLevel" in repr(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
-        self.pieces = PieceIds(self.plain) if self.byte_level else None
+        self.pieces = PieceIds(self.in_a_row) if self.byte_level else None
+        # a byte-level token is spelt with one character for each byte
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes_of[i] = len(token)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         """The tokenizer's own ids."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(f.ids)}{self.code}", *f.ids) for f in found]
 
+    def in_a_row(self, pieces: list[str]) -> list[bytes]:
+        """Ids of sound pieces with what stands before them, many spelt as one text and cut by their bytes."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), ROW_PIECES):
+            row = pieces[at : at + ROW_PIECES]
+            text = "".join(row)
+            if len(row) > 1 and not any(a in text for a in self.added):
+                ids = np.frombuffer(self.plain([text])[0], dtype=self.kind)
+                ends = np.cumsum(self.bytes_of[ids])
+                wanted = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in row])
+                last = np.searchsorted(ends, wanted)
+                if last[-1] < len(ends) and (ends[last] == wanted).all():
+                    raw, cuts = ids.tobytes(), [0, *((last + 1) * self.kind.itemsize).tolist()]
+                    out += [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+                    continue
+            out += self.plain(row)
+        return out
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.byte_level:
             return self.plain(texts)
         # a text that spells an added token goes to the library whole
         split = [None if any(a in t for a in self.added) else t.replace("\n", " \n").split(" ") for t in texts]
-        self.pieces.learn({p for words in split if words for p in words[1:]})
+        known = self.pieces.get
+        rows = [None if words is None else list(map(known, words[1:])) for words in split]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] if row else [] for row in rows]
+        learnt = self.pieces.learn({words[i + 1] for words, at in zip(split, gaps, strict=True) for i in at})
         firsts = iter(self.plain([w[0] for w in split if w]))
         out = []
-        for text, words in zip(texts, split, strict=True):
+        for text, words, row, at in zip(texts, split, rows, gaps, strict=True):
             try:
                 if words is None:
                     raise KeyError(text)
                 first = next(firsts)
                 if len(words) > 1 and not (self.pieces.sound(words[0]) and words[0][0] != "\n"):
                     raise KeyError(words[0])
-                out.append(first + b"".join(map(self.pieces.__getitem__, words[1:])))
+                for i in at:
+                    row[i] = learnt[words[i + 1]]
+                out.append(first + b"".join(row))
             except KeyError:
                 out += self.plain([text])
         return out

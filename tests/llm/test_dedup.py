@@ -283,3 +283,18 @@ def test_phrase_automaton_is_brute_force(width, words):
         text = [*draw.choice(tongue, at % 5), *cut, *([b"new"] if at % 2 else []), *draw.choice(tongue, 3), *phrases[at % 5].split()]
         marked = {x for k in range(len(text) - width + 1) if tuple(text[k : k + width]) in known for x in range(k, k + width)}
         assert {x for lo, hi in machine.ranges(b" ".join(text)) for x in range(lo, hi)} == marked
+
+
+def test_whole_line_sets_are_cut_after_the_pick(spark, monkeypatch):
+    base = "the quick brown fox jumps over the lazy dog and runs away"
+    texts = [base, base + "!", *(hashlib.sha256(bytes([k])).hexdigest() for k in range(20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    caught, by_jaccard = [], lines.by_jaccard
+    monkeypatch.setattr(lines, "by_jaccard", lambda *a: caught.append(a) or by_jaccard(*a))
+    assert sum(r.n_removed for r in lines.dedup_lines(docs).collect()) == 1
+    sketches, sets_of = caught[0][:2]
+    some = sketches.select("id").limit(1)
+    got = sets_of(some)
+    # the cut reads lines that were picked and written: nothing is joined on top of it or below
+    assert got.count() == 1 and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert set(got.first()["items"]) and sketches.count() < len(texts)

@@ -133,7 +133,11 @@ def near_duplicates(
     several = able.join(small(classes), ["n", "p1", "p2"]).groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     tied = settle(several.filter("a < b").select("a", "b"), "tied")
     facts_of = settle(reps.join(small(able_ids), "id", "left_semi").select("id", F.col("n").alias("m"), "sketch"), "able")
-    found = confirmed_components(shared, by_jaccard(facts_of, sets, percent, k), tied)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return sets.join(small(ids), "id", "left_semi")
+
+    found = confirmed_components(shared, by_jaccard(facts_of, sets_of, percent, k), tied)
     placed = facts.join(classes, ["n", "p1", "p2"], "left").join(found, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
     return placed.select(

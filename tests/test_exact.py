@@ -1,6 +1,7 @@
 """Fast forms against brute force, and the paths taken by hot groups."""
 
 import itertools
+import math
 import random
 from collections import Counter
 
@@ -391,3 +392,70 @@ def test_few_keys_are_looked_for(spark, monkeypatch):
     assert sorted(r.key for r in Y._with_keys(rows, wanted, Y._grams(F.col("text"), 3), True).collect()) == ["NAT"] * 3
     monkeypatch.setattr(Y, "FEW_KEYS", 0)
     assert looked == join() and len(looked) == 10
+
+
+def test_experiment_rules_have_no_stop(spark, data, monkeypatch):
+    # the query stopped at 3 rules of 2 terms, for 3 of the 5 seeds
+    from tidewater.operators import rules as L
+    from tidewater.plans import modelling
+
+    class Asked(Exception):
+        pass
+
+    asked = []
+
+    def spy(df, label, target, candidates, id_col, max_rules=None, max_terms=None, seed=1):
+        asked.append((max_rules, max_terms, seed))
+        if len(asked) == 5:
+            raise Asked
+        return []
+
+    monkeypatch.setattr(L, "learn_rules", spy)
+    with pytest.raises(Asked):
+        modelling.experiment_summary(spark, data)
+    assert asked == [(None, None, seed) for seed in range(1, 6)]
+
+
+def test_rules_from_counted_rows(spark):
+    """Rows that meet the same conditions are counted once; nulls meet none, null labels are wrong in growing only."""
+    from tidewater.operators import rules as L
+
+    draw = random.Random(5)
+    rows = []
+    for i in range(600):
+        a, b = (None if draw.random() < 0.05 else draw.randrange(10) for _ in "ab")
+        y = None if draw.random() < 0.03 else int((a or 0) > 5 and (b or 0) < 5 and draw.random() < 0.95 or a == 1)
+        rows.append((i, a, b, y))
+    df = spark.createDataFrame(rows, "id int, a int, b int, y int").repartition(3)
+    conditions = [(c, op, v) for c in "ab" for v in range(1, 10) for op in (">=", "<")]
+    turn = {r.id: r.t for r in df.select("id", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(3)).alias("t")).collect()}
+
+    def holds(rule, row):
+        cells = {"a": row[1], "b": row[2]}
+        return all(cells[c] is not None and (cells[c] >= v if op == ">=" else cells[c] < v) for c, op, v in rule)
+
+    left, want = rows, []
+    while True:
+        grow, rule = [r for r in left if turn[r[0]] < 2], []
+        while grow:
+            share, found = sum(r[3] == 1 for r in grow) / len(grow), []
+            for k, c in enumerate(conditions):
+                here = [r for r in grow if holds([c], r)]
+                p = sum(r[3] == 1 for r in here)
+                if p:
+                    found.append((round(p * (math.log2(p / len(here)) - math.log2(share)), 9), -k))
+            if not found or max(found)[0] <= 1e-9:
+                break
+            rule.append(conditions[-max(found)[1]])
+            grow = [r for r in grow if holds(rule[-1:], r)]
+            if all(r[3] == 1 for r in grow):
+                break
+        worth = []
+        for k in range(1, len(rule) + 1):
+            seen = [r[3] for r in left if turn[r[0]] == 2 and r[3] is not None and holds(rule[:k], r)]
+            worth.append(((2 * sum(seen) - len(seen)) / len(seen) if seen else -1.0, -k))
+        if not rule or max(worth)[0] <= 0:
+            break
+        want.append(rule[: -max(worth)[1]])
+        left = [r for r in left if not holds(want[-1], r)]
+    assert L.learn_rules(df, "y", 1, conditions, "id", seed=2) == want and sum(map(len, want)) >= 4

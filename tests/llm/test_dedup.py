@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -298,3 +299,44 @@ def test_whole_line_sets_are_cut_after_the_pick(spark, monkeypatch):
     # the cut reads lines that were picked and written: nothing is joined on top of it or below
     assert got.count() == 1 and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert set(got.first()["items"]) and sketches.count() < len(texts)
+
+
+def test_line_keys_by_place_and_by_minima(spark):
+    """Shingles cut by place, values read off one pass and minima by line are the keys of the plain way."""
+    from pyspark.sql import functions as F
+
+    draw = random.Random(3)
+    texts = ["a", "ab日本", "a" * 500, "ab" * 90 + "é", "日本語のテキスト" * 30, "x" * 7, "y" * 6, "abc" * 40]
+    texts += ["".join(draw.choice("abcdef é") for _ in range(n)) for n in (*range(98, 146, 3), 400, 900)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "h long, line string")
+    regex = F.transform(F.expr("regexp_extract_all(line, '(?s)(?=(.{7}))', 1)"), lambda x: F.xxhash64(x))
+    plain = F.when(F.char_length("line") < 7, F.array(F.xxhash64("line"))).otherwise(regex)
+    cut = rows.select("h", plain.alias("plain"), lines.shingle_hashes("line", 7).alias("cut")).collect()
+    assert all(r.plain == r.cut for r in cut)
+    got = {}
+    for r in lines.signatures(rows, 7, 75).collect():
+        got.setdefault(r.h, []).extend(r["keys"])
+    own = {r.h: r["keys"] for r in rows.select("h", lines.band_keys(plain).alias("keys")).collect()}
+    assert {h: sorted(k) for h, k in got.items()} == {h: sorted(k) for h, k in own.items()}
+    # a ring value is the smallest hash from the start of its bin on, over the end if need be
+    far = {r.h: sorted(set(r.plain)) for r in cut}
+    want = {}
+    for h, hashes in far.items():
+        if len(hashes) >= lines.RING_FROM:
+            starts = [[-(1 << 63) + ((band + 16 * row) << 58) for row in range(4)] for band in range(12)]
+            want[h] = [[min((x for x in hashes if x >= s), default=hashes[0]) for s in band] for band in starts]
+    values = spark.createDataFrame([(h, no, v) for h, bands in want.items() for no, v in enumerate(bands)], "h long, no int, v array<long>")
+    rings = values.select("h", F.xxhash64("no", "v").alias("key")).collect()
+    assert len(rings) >= 12 * 10 and all(r.key in own[r.h] for r in rings)
+
+
+def test_written_lists_are_not_written_again(spark, monkeypatch):
+    from tidewater.llm import linking
+
+    written = []
+    plain = linking.settle
+    monkeypatch.setattr(linking, "settle", lambda df, label, *a: written.append(label) or plain(df, label, *a))
+    docs = spark.createDataFrame([(i, f"the same long line that has a number at its very end {i % 3}\nother {i}") for i in range(9)], "doc_id long, text string")
+    assert lines.dedup_lines(docs).agg({"n_removed": "sum"}).first()[0] == 8
+    # the first round, and the only one here, had written all lists once more
+    assert "lists" not in written and "met" in written
